@@ -49,10 +49,15 @@ def value_cuts(df: DataFrame, value: str, parts: int) -> list[float]:
 
 
 def prefix_by_value(df: DataFrame, value: str, measures: Sequence[str], groups: Sequence[str] = (),
-                    parts: int | None = None, pre_aggregated: bool = False) -> DataFrame:
+                    parts: int | None = None, pre_aggregated: bool = False,
+                    totals_out: dict | None = None) -> DataFrame:
     """For every distinct ``(groups, value)``: the measure sums at that value,
     ``<m>_before`` (sum over strictly smaller values in the group) and
     ``<m>_total`` (group total). Null values are ignored.
+
+    ``parts=1`` skips value bucketing: right when the groups themselves are
+    many and equal-sized (bootstrap replicates, folds). Without groups the
+    measure totals are also written into ``totals_out`` (driver scalars).
     """
     groups, measures = list(groups), list(measures)
     parts = parts or default_parts(df)
@@ -77,6 +82,8 @@ def prefix_by_value(df: DataFrame, value: str, measures: Sequence[str], groups:
                 offs[m][r["_bkt"]] = run
                 run += r[f"_t_{m}"] or 0
             totals[m] = run
+        if totals_out is not None:
+            totals_out.update(totals)
         out = local
         for m in measures:
             if offs[m]:

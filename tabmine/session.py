@@ -52,3 +52,20 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if sc.getCheckpointDir() is None:
         sc.setCheckpointDir(path)
     return path
+
+
+def materialize(df, name: str = "stage"):
+    """Write ``df`` as Parquet under the shared checkpoint folder and read it back.
+
+    Used where one intermediate feeds several jobs (fitted constants, rank
+    cut points, bootstrap draws): it is computed once, later jobs scan the
+    files, and the lineage is cut, so a lost executor costs a re-read rather
+    than a recomputation from the sources.
+    """
+    import uuid
+
+    spark = df.sparkSession
+    base = ensure_checkpoint_dir(spark).rstrip("/")
+    path = f"{base}/tabmine-stage/{name}-{uuid.uuid4().hex}"
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
