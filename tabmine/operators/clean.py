@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from tabmine.functions.text import (char_count, collapse_ws, flag, last_match_int, strip_ws,
                                     word_count)
 from tabmine.operators.ranks import quantile_values
+from tabmine.session import materialize
 from tabmine.spec import Preset
 
 
@@ -129,6 +130,9 @@ def clean_reviews(raw: DataFrame, preset: Preset) -> Cleaned:
     d = strip_columns(d, preset.strip_cols, uw)
     d = d.withColumn("description", collapse_ws("description", uw))
     d = fill_constant(d, preset.fill_cols, preset.fill_value)
+    # written once: the cap's jobs and every consumer read it instead of
+    # repeating the dedup shuffle
+    d = materialize(d, "dedup")
     cap = quantile_values(d.select("price"), "price", [preset.cap_q])[0]
     year = vintage_year("title", preset)
     d = d.withColumns({
