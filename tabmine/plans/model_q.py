@@ -64,7 +64,7 @@ SELECT 'baseline' AS model, round((tp + tn) / (tp + fp + fn + tn), 6) AS accurac
        round(coalesce(tp / nullif(tp + fp, 0), 0), 6) AS precision,
        round(coalesce(tp / nullif(tp + fn, 0), 0), 6) AS recall,
        round(coalesce(2 * tp / nullif(2 * tp + fp + fn, 0), 0), 6) AS f1,
-       0.0 AS mcc, round(brier, 6) AS brier, 0.5 AS roc_auc FROM k""")
+       CAST(0.0 AS DOUBLE) AS mcc, round(brier, 6) AS brier, CAST(0.5 AS DOUBLE) AS roc_auc FROM k""")
 def baseline_majority(spark, sf_dir):
     """M3: most frequent training class as a constant score, evaluated on test."""
     tr, te = orders_split(spark, sf_dir)
