@@ -45,18 +45,30 @@ def normalize_missing(df: DataFrame) -> DataFrame:
 
 
 def read_reviews_csv(spark: SparkSession, path: str, schema: T.StructType = REVIEW_SCHEMA) -> DataFrame:
-    """Header CSV with quoted multi-line text, fixed schema, pandas null tokens.
+    """Header CSV with quoted multi-line text, typed by column NAME.
 
-    The header is used for column *names* (``enforceSchema=False``), so the
-    file's column order does not have to match ``schema``'s.
+    The header line is read first (one line); the read schema follows the
+    file's column order with each type looked up by name in ``schema`` (the
+    unnamed index column becomes ``row_id``; unknown columns are strings).
+    Then pandas-style null tokens become null and NaN becomes null.
     """
-    df = (spark.read.schema(schema)
-          .option("header", True).option("multiLine", True)
-          .option("escape", '"').option("quote", '"')
-          .option("enforceSchema", False)
-          .option("mode", "FAILFAST")
-          .csv(path))
-    return normalize_missing(df)
+    import csv
+
+    first = spark.read.text(path).first()
+    names = next(csv.reader([first[0] if first else ""]))
+    names = [n.strip() or "row_id" for n in names]
+    by_name = {f.name: f for f in schema.fields}
+    # read every column as text: null tokens apply to numbers too ("nan", "NA")
+    raw = (spark.read.schema(T.StructType([T.StructField(n, T.StringType(), True) for n in names]))
+           .option("header", True).option("multiLine", True)
+           .option("escape", '"').option("quote", '"')
+           .option("enforceSchema", True)
+           .option("mode", "FAILFAST")
+           .csv(path))
+    keep = [f.name for f in schema.fields if f.name in names] + [n for n in names if n not in by_name]
+    typed = raw.select(*[null_tokens(F.col(n)).cast(by_name[n].dataType if n in by_name else T.StringType()).alias(n)
+                         for n in keep])
+    return normalize_missing(typed)
 
 
 def read_table(spark: SparkSession, path: str) -> DataFrame:

@@ -1,0 +1,8 @@
+"""Streaming: intentionally empty.
+
+The studied workflow has no streams, event-time windows or state. The
+stateless pieces (cleaning expressions in ``tabmine.functions``, a fitted
+``FittedPrep`` and Spark ML models) apply unchanged to a streaming
+DataFrame, e.g. ``fitted.transform(spark.readStream...)`` inside a
+``writeStream``; nothing stream-specific is needed to do so.
+"""
