@@ -122,12 +122,13 @@ def scored(spark: SparkSession, sf_dir: str) -> DataFrame:
     base = r.select("row_id", "customer_id", "price", "taster_name", "points",
                     (F.col("points") >= 90).cast("int").alias("y"),
                     F.col("price").isNull().cast("int").alias("price_missing"))
-    a = base.select(F.lit("price_only").alias("model"), "row_id", "y",
-                    _score_a(F.col("price")).alias("p"), "price", "price_missing", "taster_name", "points")
-    b = base.select(F.lit("mixed").alias("model"), "row_id", "y",
-                    _score_b(F.col("price"), F.col("row_id"), F.col("customer_id")).alias("p"),
-                    "price", "price_missing", "taster_name", "points")
-    return a.unionByName(b)
+    # one scan and one join chain emit both models' rows (no union of two plans)
+    both = F.inline(F.array(
+        F.struct(F.lit("price_only").alias("model"), _score_a(F.col("price")).alias("p")),
+        F.struct(F.lit("mixed").alias("model"),
+                 _score_b(F.col("price"), F.col("row_id"), F.col("customer_id")).alias("p"))))
+    return base.select("row_id", "y", "price", "price_missing", "taster_name", "points", both).select(
+        "model", "row_id", "y", "p", "price", "price_missing", "taster_name", "points")
 
 
 SCORED_SQL = ORDERS_REVIEW_SQL + """,
