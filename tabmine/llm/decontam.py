@@ -84,7 +84,7 @@ def contaminate(docs: DataFrame, bench: DataFrame, text_col: str = "text", item_
                  .groupBy("t").agg(F.collect_set(F.struct("start", "len", "win")).alias("spots")))
         spots = stage(spots, "window-spots")
         exact = (docs.select(digest128(text_of(text_col)).alias("t"), text_of(text_col).alias("x"))
-                 .join(small(spots, 4096, broadcast_bytes), "t")
+                 .join(small(spots, 1024, broadcast_bytes), "t")
                  .groupBy("t").agg(F.first("x").alias("x"), F.first("spots").alias("spots"))
                  .select("t", words_of(ascii_lower(F.col("x"))).alias("w"), "spots"))
         # staged: the words must not be cut again for each spot
@@ -103,7 +103,7 @@ def contaminate(docs: DataFrame, bench: DataFrame, text_col: str = "text", item_
     if found is None:
         out = base.withColumn("n_hit", F.lit(0).cast("long")).withColumn("items", F.array().cast("array<string>"))
     else:
-        out = base.join(small(result.withColumnRenamed("t", "__t"), 1024, broadcast_bytes), "__t", "left")
+        out = base.join(small(result.withColumnRenamed("t", "__t"), 256, broadcast_bytes), "__t", "left")
         out = (out.withColumn("n_hit", F.coalesce("n_hit", F.lit(0).cast("long")))
                .withColumn("items", F.coalesce("items", F.array().cast("array<string>"))))
     return (out.withColumn("n_items", F.size("items").cast("long"))

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tabmine.llm.common import BLANKS, BROADCAST_BYTES, ascii_lower, digest128, small, stage, text_of
+from tabmine.llm.common import BLANKS, ascii_lower, digest128, stage, text_of
 
 
 def line_key(line: Column) -> Column:
@@ -18,8 +18,7 @@ def line_key(line: Column) -> Column:
     return ascii_lower(F.trim(line, F.lit(BLANKS)))
 
 
-def dedup_lines(docs: DataFrame, text_col: str = "text", min_docs: int = 10, min_chars: int = 1,
-                broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
+def dedup_lines(docs: DataFrame, text_col: str = "text", min_docs: int = 10, min_chars: int = 1) -> DataFrame:
     """Rows of ``docs`` with ``text_col`` cut to its kept lines, plus n_lines and n_dropped (long).
 
     A line key of at least ``min_chars`` code points found in at least
@@ -28,10 +27,10 @@ def dedup_lines(docs: DataFrame, text_col: str = "text", min_docs: int = 10, min
     line; a text whose lines all go becomes empty; an empty table gives an
     empty result; input columns named like a result column are replaced.
 
-    A text's md5 is its key: only (text key, line key) pairs are shuffled, with
-    counts combined before the shuffle, so a line found in a third of all
-    documents is one row per task. Texts move only if the table of affected
-    documents is too large to broadcast.
+    A text's md5 is its key. Counting shuffles keys only, combined before the
+    shuffle, so a line found in a third of all documents is one row per task.
+    Texts are shuffled once, to meet their hot keys; the keys' side has one row
+    per text, so Spark can split the partition of a text with many copies.
     """
     docs = docs.drop("n_lines", "n_dropped")
     keys = F.array_distinct(F.transform(F.split(text_of(text_col), "\n"), line_key))
@@ -42,12 +41,11 @@ def dedup_lines(docs: DataFrame, text_col: str = "text", min_docs: int = 10, min
                   .select("__t", digest128(F.col("__k")).alias("__k")), "line-keys")
     hot = stage(pairs.groupBy("__k").agg(F.count("*").alias("__n")).filter(F.col("__n") >= min_docs)
                 .select("__k"), "line-hot")
-    hit = stage(pairs.join(small(hot, 64, broadcast_bytes), "__k", "left_semi")
+    hit = stage(pairs.join(hot, "__k", "left_semi")
                 .groupBy("__t").agg(F.collect_set("__k").alias("__hot")), "line-docs")
-    # widest case: a document whose hot keys fill its row; 512 bytes hold 30 keys
     rows = (docs.withColumn("__t", digest128(text_of(text_col)))
             .withColumn("__lines", F.split(text_of(text_col), "\n"))
-            .join(small(hit, 512, broadcast_bytes), "__t", "left"))
+            .join(hit, "__t", "left"))
     kept = F.filter("__lines", lambda x: ~F.array_contains("__hot", digest128(line_key(x))))
     rows = rows.withColumn("__kept", F.when(F.col("__hot").isNull(), F.col("__lines")).otherwise(kept))
     return (rows
