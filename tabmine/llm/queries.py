@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from tabmine.llm import bagminhash, chat_format, decontam, exact_stream, line_dedup, pfair_mix, url_filter
+from tabmine.llm import bagminhash, chat_format, decontam, exact_stream, gru_lm, line_dedup, pfair_mix, quality, url_filter
 from tabmine.llm.common import text_of
 
 QUERIES: dict = {}
@@ -162,3 +162,15 @@ def op8_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return bagminhash.near_duplicates(docs).select("doc_id", "class_id", "class_size", "n_copies", "kept")
+
+
+@query()
+def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    out = quality.score_quality(docs, table(spark, sf_dir, "labels").select("doc_id", "quality"))
+    return out.select("doc_id", "held_out", "score", "predicted")
+
+
+@query()
+def op10_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return gru_lm.score_texts(table(spark, sf_dir, "documents").select("doc_id", "text"))
