@@ -10,7 +10,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from tabmine.llm import bagminhash, chat_format, decontam, exact_stream, gru_lm, line_dedup, pfair_mix, quality, url_filter
+from tabmine.llm import (bagminhash, chat_format, decontam, exact_stream, gru_lm, line_dedup, pfair_mix,
+                         pii_bootstrap, quality, url_filter)
 from tabmine.llm.common import text_of
 
 QUERIES: dict = {}
@@ -174,3 +175,13 @@ def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def op10_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     return gru_lm.score_texts(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+@query()
+def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = pii_bootstrap.find_personal_data(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    n = [F.size(F.filter("base", lambda s, k=k: s["kind"] == k)).cast("long").alias(f"n_{name}")
+         for k, name in enumerate(pii_bootstrap.KINDS)]
+    return out.select("doc_id", *n, hex_sha(pii_bootstrap.written(F.col("base"))).alias("base_sha256"),
+                      pii_bootstrap.written(F.col("spans")).alias("spans"),
+                      (F.size("spans") - F.size("base")).cast("long").alias("n_discovered"))
