@@ -19,7 +19,9 @@ from tabmine.llm.common import BROADCAST_BYTES, small, stage, text_of
 from tabmine.session import ensure_checkpoint_dir
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
-PROVIDER = "spark.sql.streaming.stateStore.providerClass"
+#: State on disk; without allocating file space ahead, which costs megabytes for every state partition.
+STATE_CONF = {"spark.sql.streaming.stateStore.providerClass": ROCKSDB,
+              "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false"}
 #: Rows of one group that are compared with one copy of the kept text.
 GROUP_ROWS = 1000
 
@@ -60,12 +62,14 @@ def dedup_state(spark: SparkSession, path: str, id_col: str = "doc_id", text_col
              .parquet(f"{base}/rows").groupBy("digest")
              .agg(F.min(F.struct(F.col("id").isNull().alias("none"), "id", "file", "row")).alias("keep"),
                   F.count("*").alias("n")))
-    before = spark.conf.get(PROVIDER, None)
-    spark.conf.set(PROVIDER, ROCKSDB)
+    before = {k: spark.conf.get(k, None) for k in STATE_CONF}
     try:
+        for k, v in STATE_CONF.items():
+            spark.conf.set(k, v)
         _run(keyed, "update", f"{base}/state", "noop")
     finally:
-        spark.conf.unset(PROVIDER) if before is None else spark.conf.set(PROVIDER, before)
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
     if rows.isEmpty():  # no batch ran, so there is no state to read
         state = rows.groupBy("digest").agg(F.first(F.struct(F.lit(True), "id", "file", "row")), F.count("*"))
         state = state.select("digest", F.struct(*state.columns[1:]).alias("value"))
