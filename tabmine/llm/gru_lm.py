@@ -389,7 +389,7 @@ def score_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     n_tail, v_tail = int(n - head.sum()), int(v - vocab.size)
 
     plain = docs.select(F.struct(F.col(id_col).alias("id"), held.alias("held_out")).alias("id"), text_of(text_col).alias("x"))
-    made = plain.mapInArrow(scorer(vocab, hidden, flat, window, n_lanes), (
+    made = plain.mapInArrow(scorer(vocab, hidden, flat, 4 * window, n_lanes), (
         f"id struct<id: {docs.schema[id_col].dataType.simpleString()}, held_out: boolean>, net double, n long, base double, "
         "tail double, n_tail long, known long, rare array<long>, times array<long>"))
     made = stage(made.withColumn("row", F.monotonically_increasing_id()), "lm-texts")
