@@ -145,6 +145,19 @@ def components(nodes: DataFrame, edges: DataFrame) -> DataFrame:
             return label
 
 
+def merged(label: DataFrame, links: DataFrame) -> DataFrame:
+    """``label`` after further links: the components of the graph whose nodes are the labels so far."""
+    name = label.select(F.col("t").alias("a"), F.col("c").alias("ca"))
+    ends = (links.join(name, "a").join(name.withColumnsRenamed({"a": "b", "ca": "cb"}), "b")
+            .filter("ca != cb").select(F.col("ca").alias("a"), F.col("cb").alias("b")).distinct())
+    ends = stage(ends, "component-links")
+    if ends.isEmpty():
+        return label
+    nodes = ends.select(F.col("a").alias("t")).union(ends.select("b")).distinct()
+    new = components(nodes, ends).select(F.col("t").alias("c"), F.col("c").alias("d"))
+    return stage(label.join(new, "c", "left").select("t", F.coalesce("d", "c").alias("c")), "labels-merged")
+
+
 def _tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """A row per element of each bag; the i-th copy of a shingle is an element of its own."""
     for batch in batches:
@@ -247,12 +260,11 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
             links.select(F.col("b").alias("a"), F.col("a").alias("b")), ["a", "b"], "left_anti")
         links2 = compared(second, "links-2")
         links = links.union(links2)
-        label = components(wanted, links.filter(F.col("sim") >= threshold))
+        label = merged(label, links2.filter(F.col("sim") >= threshold))
         rest = _prefix_pairs(bags.join(left.select("t").distinct(), "t", "left_semi"), label, threshold)
         rest = rest.join(links.select("a", "b"), ["a", "b"], "left_anti").join(
             links.select(F.col("b").alias("a"), F.col("a").alias("b")), ["a", "b"], "left_anti")
-        links = links.union(compared(rest, "links-3"))
-        label = components(wanted, links.filter(F.col("sim") >= threshold))
+        label = merged(label, compared(rest, "links-3").filter(F.col("sim") >= threshold))
 
     narrow = rows.select(F.col("__t"), F.col(id_col).alias("id"))
     texts = narrow.groupBy("__t").agg(F.count("*").alias("n_copies"),
