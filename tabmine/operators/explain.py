@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tabmine.functions.hashing import md5_key
@@ -20,8 +20,9 @@ def _positions(df: DataFrame, key, groups: Sequence[str], id_col: str) -> DataFr
     h = df.select(*groups, id_col, F.conv(F.substring(key, 1, 13), 16, 10).cast("bigint").alias("_k"))
     c = h.groupBy(*groups, "_k").agg(F.count(F.lit(1)).alias("_c"))
     pf = prefix_by_value(c, "_k", ["_c"], groups, pre_aggregated=True)
+    tie = F.row_number().over(Window.partitionBy(*groups, "_k").orderBy(id_col))
     return h.join(pf.select(*groups, "_k", "_c_before"), [*groups, "_k"]).select(
-        *groups, id_col, F.col("_c_before").alias("pos"))
+        *groups, id_col, (F.col("_c_before") + tie - 1).alias("pos"))
 
 
 def permutation_importance(model: FittedModel, sample: DataFrame, features: Sequence[str],
@@ -51,7 +52,7 @@ def permutation_importance(model: FittedModel, sample: DataFrame, features: Sequ
     scored = model.model.transform(model.prep.transform(allx)).select(
         "feature", "rep", F.col(model.target).cast("int").alias("y"),
         vector_to_array("probability")[1].alias("p"))
-    aucs = roc_auc(scored, ["feature", "rep"], ndigits=None, parts=1)
+    aucs = roc_auc(scored, ["feature", "rep"], ndigits=None)
     return aucs.groupBy("feature").agg(F.round(F.lit(base_auc) - F.avg("roc_auc"), ndigits).alias("delta_auc"))
 
 

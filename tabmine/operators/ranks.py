@@ -24,19 +24,27 @@ from pyspark.sql import functions as F
 
 
 def default_parts(df: DataFrame) -> int:
-    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
-    return max(1, min(n, 512))
+    """As many value buckets as shuffle partitions, which grow with the cluster."""
+    return max(1, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200")))
 
 
-def _bucket_tree(v: Column, cuts: list[float], lo: int = 0, hi: int | None = None) -> Column:
-    """Balanced CASE tree: number of cut points strictly below ``v``."""
-    if hi is None:
-        hi = len(cuts)
-    if lo >= hi:
-        return F.lit(lo)
-    mid = (lo + hi) // 2
-    return F.when(v > F.lit(cuts[mid]), _bucket_tree(v, cuts, mid + 1, hi)).otherwise(
-        _bucket_tree(v, cuts, lo, mid))
+def _bucket_of(v: Column, cuts: list[float]) -> Column:
+    """Number of cut points strictly below ``v``, by bisection in a sorted literal array."""
+    if not cuts:
+        return F.lit(0)
+    held = F.array(*[F.lit(float(c)) for c in cuts])
+    strides = F.array(*[F.lit(1 << k) for k in range(len(cuts).bit_length() - 1, -1, -1)])
+    return F.aggregate(strides, F.lit(0), lambda at, step: F.when(
+        F.coalesce(F.get(held, at + step - 1) < v.cast("double"), F.lit(False)), at + step).otherwise(at))
+
+
+def null_safe_join(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Inner join on ``keys`` where null equals null; the left side's keys stay."""
+    r = right.withColumnsRenamed({k: f"_r_{k}" for k in keys})
+    on = F.lit(True)
+    for k in keys:
+        on = on & left[k].eqNullSafe(r[f"_r_{k}"])
+    return left.join(r, on).drop(*[f"_r_{k}" for k in keys])
 
 
 def value_cuts(df: DataFrame, value: str, parts: int) -> list[float]:
@@ -55,9 +63,9 @@ def prefix_by_value(df: DataFrame, value: str, measures: Sequence[str], groups:
     ``<m>_before`` (sum over strictly smaller values in the group) and
     ``<m>_total`` (group total). Null values are ignored.
 
-    ``parts=1`` skips value bucketing: right when the groups themselves are
-    many and equal-sized (bootstrap replicates, folds). Without groups the
-    measure totals are also written into ``totals_out`` (driver scalars).
+    ``parts=1`` skips value bucketing: only for groups of a known small size.
+    A null group is a group. Without groups the measure totals are also written
+    into ``totals_out`` (driver scalars).
     """
     groups, measures = list(groups), list(measures)
     parts = parts or default_parts(df)
@@ -65,7 +73,7 @@ def prefix_by_value(df: DataFrame, value: str, measures: Sequence[str], groups:
     agg = src if pre_aggregated else src.groupBy(*groups, value).agg(
         *[F.sum(m).alias(m) for m in measures])
     cuts = value_cuts(agg, value, parts)
-    b = agg.withColumn("_bkt", _bucket_tree(F.col(value), cuts))
+    b = agg.withColumn("_bkt", _bucket_of(F.col(value), cuts))
     w_local = (Window.partitionBy(*groups, "_bkt").orderBy(value)
                .rowsBetween(Window.unboundedPreceding, -1))
     local = b.select(*groups, value, "_bkt", *measures,
@@ -99,7 +107,7 @@ def prefix_by_value(df: DataFrame, value: str, measures: Sequence[str], groups:
         offs = tot.select(*groups, "_bkt",
                           *[F.coalesce(F.sum(f"_t_{m}").over(wg), F.lit(0)).alias(f"_o_{m}") for m in measures],
                           *[F.sum(f"_t_{m}").over(wall).alias(f"{m}_total") for m in measures])
-        out = local.join(offs, [*groups, "_bkt"], "inner")
+        out = null_safe_join(local, offs, [*groups, "_bkt"])
         for m in measures:
             out = out.withColumn(f"{m}_before", F.col(f"_l_{m}") + F.col(f"_o_{m}"))
     keep = [*groups, value, *measures, *[f"{m}_before" for m in measures], *[f"{m}_total" for m in measures]]

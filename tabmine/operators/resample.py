@@ -84,9 +84,7 @@ def bootstrap_ci(scores: DataFrame, B: int = 300, seed: int = 42, alpha: float =
     """
     rw = replicate_weights(scores, B, seed, id_col, mode)
     g = ["rep", model_col]
-    # (rep, model) groups are equal-sized by construction: they spread the
-    # work themselves, so the cumulative sums skip value bucketing (parts=1).
-    auc = roc_auc(rw, g, ndigits=None, cum=score_cumulatives(rw, g, weight="w", parts=1))
+    auc = roc_auc(rw, g, ndigits=None, cum=score_cumulatives(rw, g, weight="w"))
     f1 = binary_metrics(rw, g, ndigits=None, weight="w").select(*g, "f1")
     per_rep = auc.join(f1, g).unpivot(g, ["roc_auc", "f1"], "metric", "value")
     return _interval(per_rep, [model_col, "metric"], "value", alpha, ndigits)
@@ -102,7 +100,7 @@ def bootstrap_paired(scores: DataFrame, model_a: str, model_b: str, B: int = 300
     s = scores.where(F.col(model_col).isin(model_a, model_b))
     rw = replicate_weights(s, B, seed, id_col, mode)
     g = ["rep", model_col]
-    auc = roc_auc(rw, g, ndigits=None, cum=score_cumulatives(rw, g, weight="w", parts=1))
+    auc = roc_auc(rw, g, ndigits=None, cum=score_cumulatives(rw, g, weight="w"))
     diff = auc.groupBy("rep").agg(
         (F.max(F.when(F.col(model_col) == model_a, F.col("roc_auc")))
          - F.max(F.when(F.col(model_col) == model_b, F.col("roc_auc")))).alias("d"))

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tabmine.functions.hashing import md5_key
-from tabmine.operators.ranks import prefix_by_value
+from tabmine.operators.ranks import null_safe_join, prefix_by_value
 
 
 def order_key(id_col: str, seed: int):
@@ -24,12 +24,12 @@ def order_key(id_col: str, seed: int):
 
 def class_positions(df: DataFrame, label: str, id_col: str = "row_id", seed: int = 42,
                     parts: int | None = None) -> DataFrame:
-    """df + _pos (1-based position in hash order within its class) + _ncls."""
+    """df + _pos (1-based position in hash order within its class) + _ncls. Null is a class."""
     h = df.withColumn("_h", order_key(id_col, seed))
     cnt = h.groupBy(label, "_h").agg(F.count(F.lit(1)).alias("_c"))
     pf = prefix_by_value(cnt, "_h", ["_c"], [label], parts, pre_aggregated=True)
     tie = F.row_number().over(Window.partitionBy(label, "_h").orderBy(id_col))
-    j = h.join(pf.select(label, "_h", "_c_before", F.col("_c_total").alias("_ncls")), [label, "_h"])
+    j = null_safe_join(h, pf.select(label, "_h", "_c_before", F.col("_c_total").alias("_ncls")), [label, "_h"])
     return j.withColumn("_pos", F.col("_c_before") + tie).drop("_c_before")
 
 

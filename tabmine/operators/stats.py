@@ -10,95 +10,32 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tabmine.operators.ranks import value_ranks
 
 
-# ---- scalar tail probabilities (regularized incomplete beta / gamma) ----
-
-def _betacf(a: float, b: float, x: float) -> float:
-    tiny, eps = 1e-300, 1e-15
-    qab, qap, qam = a + b, a + 1.0, a - 1.0
-    c, d = 1.0, 1.0 - qab * x / qap
-    d = 1.0 / (d if abs(d) > tiny else tiny)
-    h = d
-    for m in range(1, 10000):
-        m2 = 2 * m
-        aa = m * (b - m) * x / ((qam + m2) * (a + m2))
-        d = 1.0 + aa * d
-        d = 1.0 / (d if abs(d) > tiny else tiny)
-        c = 1.0 + aa / c
-        c = c if abs(c) > tiny else tiny
-        h *= d * c
-        aa = -(a + m) * (qab + m) * x / ((a + m2) * (qap + m2))
-        d = 1.0 + aa * d
-        d = 1.0 / (d if abs(d) > tiny else tiny)
-        c = 1.0 + aa / c
-        c = c if abs(c) > tiny else tiny
-        de = d * c
-        h *= de
-        if abs(de - 1.0) < eps:
-            break
-    return h
-
-
-def betainc_reg(a: float, b: float, x: float) -> float:
-    """I_x(a, b) by Lentz's continued fraction."""
-    if x <= 0:
-        return 0.0
-    if x >= 1:
-        return 1.0
-    lbt = math.lgamma(a + b) - math.lgamma(a) - math.lgamma(b) + a * math.log(x) + b * math.log1p(-x)
-    if x < (a + 1) / (a + b + 2):
-        return math.exp(lbt) * _betacf(a, b, x) / a
-    return 1.0 - math.exp(lbt) * _betacf(b, a, 1.0 - x) / b
+# ---- scalar tail probabilities: the distributions that Spark ships ----
+
+def _distributions():
+    return SparkSession.active()._jvm.org.apache.commons.math3.distribution
 
 
 def t_two_sided_p(t: float, dof: float) -> float:
-    if dof <= 0 or t is None or math.isnan(t):
+    """Two-sided tail of Student's t; 0 for an infinite t, NaN without degrees of freedom."""
+    if t is None or math.isnan(t) or dof <= 0:
         return float("nan")
     if math.isinf(t):
         return 0.0
-    return betainc_reg(dof / 2.0, 0.5, dof / (dof + t * t))
+    return 2.0 * _distributions().TDistribution(float(dof)).cumulativeProbability(-abs(float(t)))
 
 
 def chi2_sf(x: float, k: float) -> float:
-    """Upper tail of chi-square(k): Q(k/2, x/2)."""
-    if x is None or math.isnan(x):
+    """Upper tail of chi-square with k degrees of freedom."""
+    if x is None or math.isnan(x) or k <= 0:
         return float("nan")
-    if x <= 0:
-        return 1.0
-    a, z = k / 2.0, x / 2.0
-    if z < a + 1:  # series for P, then complement
-        term = s = 1.0 / a
-        ap = a
-        for _ in range(100000):
-            ap += 1
-            term *= z / ap
-            s += term
-            if abs(term) < abs(s) * 1e-16:
-                break
-        return max(0.0, 1.0 - s * math.exp(-z + a * math.log(z) - math.lgamma(a)))
-    tiny = 1e-300  # continued fraction for Q
-    b = z + 1 - a
-    c = 1 / tiny
-    d = 1 / b
-    h = d
-    for i in range(1, 100000):
-        an = -i * (i - a)
-        b += 2
-        d = an * d + b
-        d = tiny if abs(d) < tiny else d
-        c = b + an / c
-        c = tiny if abs(c) < tiny else c
-        d = 1 / d
-        de = d * c
-        h *= de
-        if abs(de - 1) < 1e-16:
-            break
-    return math.exp(-z + a * math.log(z) - math.lgamma(a)) * h
+    return 1.0 - _distributions().ChiSquaredDistribution(float(k)).cumulativeProbability(max(0.0, float(x)))
 
 
 # ---- Spearman ----
@@ -109,7 +46,8 @@ def spearman(df: DataFrame, x: str, y: str, parts: int | None = None) -> DataFra
 
     Rows collapse to distinct (x, y) pairs with a weight first, so a hot pair
     is one row; the pairs are joined to the two distinct-value rank tables and
-    rho is the weighted correlation of the centred ranks (mean (n+1)/2).
+    rho is the weighted correlation of the centred ranks (mean (n+1)/2). rho is
+    null if a column is constant, t_stat if rho is null or 1 or -1.
     """
     d = df.select(F.col(x).cast("double").alias("_x"), F.col(y).cast("double").alias("_y")).where(
         F.col("_x").isNotNull() & F.col("_y").isNotNull())
@@ -121,9 +59,9 @@ def spearman(df: DataFrame, x: str, y: str, parts: int | None = None) -> DataFra
               F.sum(F.col("w") * F.col("_rx") * F.col("_ry")).alias("sxy"),
               F.sum(F.col("w") * F.col("_rx") ** 2).alias("sxx"),
               F.sum(F.col("w") * F.col("_ry") ** 2).alias("syy"))
-    rho = F.col("sxy") / F.sqrt(F.col("sxx") * F.col("syy"))
+    rho = F.try_divide(F.col("sxy"), F.sqrt(F.col("sxx") * F.col("syy")))
     return a.select("n", rho.alias("rho")).select(
-        "n", "rho", (F.col("rho") * F.sqrt((F.col("n") - 2) / (1 - F.col("rho") ** 2))).alias("t_stat"))
+        "n", "rho", (F.col("rho") * F.sqrt(F.try_divide((F.col("n") - 2).cast("double"), 1 - F.col("rho") ** 2))).alias("t_stat"))
 
 
 def spearman_p(row) -> float:
@@ -145,9 +83,12 @@ def kruskal(df: DataFrame, group: str, value: str, groups_subset: Sequence | Non
 
     Ranks are pooled over the rows of the kept groups only. Work: one
     aggregate to (group, value) counts, ranks of the distinct values, one
-    join on value, then per-group rank sums. Columns: k, n, h, dof.
+    join on value, then per-group rank sums. Columns: k, n, h, dof; h is null
+    if all values are equal or no row is left.
     """
-    d = df.where(F.col(group).isNotNull() & F.col(value).isNotNull())
+    d = df.select(F.col(group).alias("_g"), F.col(value).alias("_v"))
+    group, value = "_g", "_v"
+    d = d.where(F.col(group).isNotNull() & F.col(value).isNotNull())
     if groups_subset is not None:
         d = d.where(F.col(group).isin(list(groups_subset)))
     gv = d.groupBy(group, value).agg(F.count(F.lit(1)).alias("c"))
@@ -162,10 +103,10 @@ def kruskal(df: DataFrame, group: str, value: str, groups_subset: Sequence | Non
     both = parts_df.agg(F.sum("s").alias("s"), F.sum("k").alias("k"), F.sum("tie").alias("tie"),
                         F.sum("n").cast("double").alias("n"))
     n = F.col("n")
-    raw_h = 12.0 / (n * (n + 1)) * F.col("s") - 3 * (n + 1)
-    corr = 1 - F.col("tie") / (n ** 3 - n)
+    raw_h = F.try_divide(F.lit(12.0), n * (n + 1)) * F.col("s") - 3 * (n + 1)
+    corr = 1 - F.try_divide(F.col("tie"), n ** 3 - n)
     return both.select(F.col("k").cast("bigint").alias("k"), n.cast("bigint").alias("n"),
-                       (raw_h / corr).alias("h"), (F.col("k") - 1).cast("bigint").alias("dof"))
+                       F.try_divide(raw_h, corr).alias("h"), (F.col("k") - 1).cast("bigint").alias("dof"))
 
 
 def _weighted_ranks(gv: DataFrame, value: str, w: str, parts: int | None) -> DataFrame:

@@ -26,7 +26,7 @@ from tabmine.spec import ORDERS, FeatureSpec
 SPEC = ORDERS.spec
 MIN_FREQ = ORDERS.min_freq
 SEED = ORDERS.seed
-FOREST_DEPTH = 10
+FOREST_DEPTH = 15
 
 DOCS_SPEC = FeatureSpec(num=("desc_len_chars", "desc_words", "n_lines"), bin=("has_digit",),
                         cat=("lang", "source"), text="description", target="quality", id_col="row_id")

@@ -119,9 +119,9 @@ def assemble_features(spark, sf_dir):
 STOP = english_stop_words()
 STOP_SQL = ", ".join("'" + w.replace("'", "''") + "'" for w in STOP)
 TERMS_SQL = sql.docs() + f"""
-, en AS (SELECT row_id, description FROM docs_review WHERE lang = 'en'),
+, dt AS (SELECT row_id, description FROM docs_review),
 tok AS (SELECT row_id, list_filter(regexp_extract_all(lower(description), '[a-z0-9_]{{2,}}'),
-                                   lambda w: w NOT IN ({STOP_SQL})) AS t FROM en),
+                                   lambda w: w NOT IN ({STOP_SQL})) AS t FROM dt),
 grams AS (SELECT row_id, CASE WHEN len(t) >= 2
                               THEN list_concat(t, list_transform(range(1, len(t)), lambda i: t[i] || ' ' || t[i + 1]))
                               ELSE t END AS g FROM tok),
@@ -131,22 +131,22 @@ vocab AS (SELECT term, CAST(count(*) AS BIGINT) AS df, CAST(sum(tf) AS BIGINT) A
           HAVING count(*) >= 5 ORDER BY cf DESC, term LIMIT 20000)"""
 
 
-def _english(spark, sf_dir):
-    return docs_review(spark, sf_dir).where(F.col("lang") == "en").select("row_id", "description")
+def _texts(spark, sf_dir):
+    return docs_review(spark, sf_dir).select("row_id", "description")
 
 
 @query("tfidf_vocab", TERMS_SQL + " SELECT * FROM vocab")
 def tfidf_vocab(spark, sf_dir):
-    return vocabulary(doc_terms(_english(spark, sf_dir), "row_id", "description"), "row_id", 5, 20000)
+    return vocabulary(doc_terms(_texts(spark, sf_dir), "row_id", "description"), "row_id", 5, 20000)
 
 
 @query("tfidf_terms", TERMS_SQL + """
-, nd AS (SELECT count(*) AS n FROM en),
+, nd AS (SELECT count(*) AS n FROM dt),
 w AS (SELECT terms.row_id, terms.term, terms.tf,
              (1 + ln(terms.tf)) * (ln((1.0 + n) / (1 + df)) + 1) AS w
       FROM terms JOIN vocab USING (term), nd),
 nrm AS (SELECT row_id, sqrt(sum(w * w)) AS nrm FROM w GROUP BY row_id)
 SELECT row_id, term, tf, round(w / nrm, 6) AS weight FROM w JOIN nrm USING (row_id)""")
 def tfidf_terms(spark, sf_dir):
-    t = relational_tfidf(_english(spark, sf_dir), "row_id", "description", 5, 20000)
+    t = relational_tfidf(_texts(spark, sf_dir), "row_id", "description", 5, 20000)
     return t.withColumn("weight", F.round("weight", 6))

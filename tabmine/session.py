@@ -44,7 +44,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     folder under the system temp dir.
     """
     sc = spark.sparkContext
-    path = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
+    path = (spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
+            or sc.getCheckpointDir())  # a folder made here, or set by the caller, stays the session's
     if not path:
         if not sc.master.startswith("local"):
             raise RuntimeError("spark.checkpoint.dir is not set; point it at shared storage")

@@ -42,3 +42,20 @@ def test_grouped_quantiles_invariant_under_repartition(spark):
     a = exact_quantiles(li, "l_quantity", [0.25, 0.5], ["l_returnflag"]).collect()
     b = exact_quantiles(li.repartition(7), "l_quantity", [0.25, 0.5], ["l_returnflag"]).collect()
     assert sorted(map(tuple, a)) == sorted(map(tuple, b))
+
+
+def test_perfect_and_constant_columns(spark):
+    df = spark.createDataFrame([(float(i), float(2 * i), 1.0, "ab"[i % 2]) for i in range(6)], "c double, cnt double, n double, w string")
+    r = spearman(df, "c", "cnt").first()
+    assert r["rho"] == pytest.approx(1.0) and spearman_p(r) == pytest.approx(0.0, abs=1e-12)
+    assert spearman(df, "c", "n").first()["rho"] is None
+    assert kruskal(df, "w", "n").first()["h"] is None
+    assert kruskal(df, "w", "c").first()["k"] == 2 and kruskal(df.limit(1), "w", "c").first()["h"] is None
+
+
+def test_null_groups_and_labels_stay(spark):
+    from tabmine.operators.split import holdout_split, kfold_assign
+    df = spark.range(50).select(F.col("id").alias("row_id"), F.when(F.col("id") % 5 > 0, F.col("id") % 2).alias("y"), (F.col("id") * 1.0).alias("v"))
+    assert holdout_split(df, "y").count() == 50 and kfold_assign(df, "y").count() == 50
+    got = {r["y"]: r["v"] for r in exact_quantiles(df, "v", [0.5], ["y"]).collect()}
+    assert got[None] == pytest.approx(22.5) and len(got) == 3
