@@ -384,9 +384,9 @@ def score_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         hot = counts.sparkSession.createDataFrame([(key(END), 0)], "h long, c long").toPandas()
     vocab = Vocabulary(hot["h"].to_numpy(), hot["c"].to_numpy(), vocabulary, classes)
     sample = train_docs.filter(F.pmod(F.xxhash64(F.lit("train"), F.col(id_col).cast("string"), text_of(text_col)), F.lit(train_share)) == 0)
-    flat = train(sample, text_col, vocab, hidden, window)
+    flat = train(sample, text_col, vocab, hidden, window, min(n_lanes, 128))
     head = vocab.counts[:vocab.size]
-    n_tail, v_tail = int(n - head.sum()), int(v - vocab.size)
+    n_tail, v_tail = int(n - head.sum()), max(0, int(v - vocab.size))
 
     plain = docs.select(F.struct(F.col(id_col).alias("id"), held.alias("held_out")).alias("id"), text_of(text_col).alias("x"))
     made = plain.mapInArrow(scorer(vocab, hidden, flat, 4 * window, n_lanes), (

@@ -328,7 +328,7 @@ def test_contexts_find_unseen(spark):
     texts += [(30, "then reach me: hidden77(at)mail2 please"), (31, None), (32, ""), (33, "in 2024 we saw abc12345 pass"), (None, "call +1 (446) 555-8962"), (5, texts[5][1])]
     got = pii_bootstrap.find_personal_data(docs_of(spark, texts)).collect()
     new = {r.doc_id: [tuple(s) for s in r.spans if s not in r.base] for r in got if len(r.spans) > len(r.base)}
-    assert new == {30: [(15, 0, 31)]}
+    assert new == {30: [(15, 0, 32)]}  # hidden77(at)mail2
     want = sorted((str(i), brute_spans(t)) for i, t in texts)
     assert sorted((str(r.doc_id), [tuple(s) for s in r.base]) for r in got) == want
     assert pii_bootstrap.find_personal_data(docs_of(spark, [])).count() == 0
