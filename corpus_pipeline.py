@@ -6,32 +6,45 @@ documents; the last adds each document's place in the mixture.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 
 from tabmine.llm import bagminhash, decontam, line_dedup, pfair_mix, quality
 from tabmine.llm.common import stage
 
 
+def of_documents(docs: DataFrame, step: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """The rows that ``step`` returns, with the columns of ``docs``.
+
+    Columns that the operators don't read go by other names meanwhile, so one that is
+    named like a result column keeps its values.
+    """
+    away = {c: f"__own_{i}" for i, c in enumerate(docs.columns) if c not in ("doc_id", "text", "source")}
+    out = step(docs.withColumnsRenamed(away)).select(*[away.get(c, c) for c in docs.columns])
+    return out.withColumnsRenamed({new: c for c, new in away.items()})
+
+
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality classifier does not reject."""
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet").select("doc_id", "quality")
-    return quality.score_quality(docs, labels).filter("predicted = 1").select(*docs.columns)
+    return of_documents(docs, lambda d: quality.score_quality(d, labels).filter("predicted = 1"))
 
 
 def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without the lines that repeat across documents."""
-    return line_dedup.dedup_lines(docs).select(*docs.columns)
+    return of_documents(docs, line_dedup.dedup_lines)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each near-duplicate class."""
-    return bagminhash.near_duplicates(docs).filter("kept").select(*docs.columns)
+    return of_documents(docs, lambda d: bagminhash.near_duplicates(d).filter("kept"))
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that do not carry benchmark passages."""
     bench = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
-    return decontam.contaminate(docs, bench).filter("NOT contaminated").select(*docs.columns)
+    return of_documents(docs, lambda d: decontam.contaminate(d, bench).filter("NOT contaminated"))
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
