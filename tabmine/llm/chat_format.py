@@ -14,6 +14,8 @@ backslash as ``\s`` and a line break as ``\n``.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -55,27 +57,32 @@ def masked_text(formatted: Column, spans: Column) -> Column:
 def _doubled(nodes: DataFrame) -> tuple[list[DataFrame], DataFrame]:
     """Pointer tables (t, n, up) by level, and (t, n, depth, total) of the nodes that reach a root.
 
-    ``up`` is the ancestor 2^level above, null beyond the root. Level k + 1 is a
-    self-join of level k.
+    ``up`` is the ancestor 2^level above; a node is in the levels it has one in.
+    Level k + 1 is a self-join of level k, of those nodes alone, so the joins
+    make as many rows as there are pointers.
     """
     ids = nodes.select("t", F.col("n").alias("up"), F.lit(True).alias("there"))
     jump = stage(nodes.select("t", "n", F.col("p").alias("up"), F.col("s").alias("total"))
                  .join(ids, ["t", "up"], "left")
                  .select("t", "n", F.when(F.col("there"), F.col("up")).alias("up"), F.lit(1).cast("long").alias("depth"),
                          "total"), "tree-0")
-    levels, most = [], None
-    while not jump.filter("up IS NOT NULL").isEmpty():
+    levels, ended, most = [], [], None
+    while True:
+        going = jump.filter("up IS NOT NULL")
+        ended.append(jump.filter("up IS NULL"))
+        if going.isEmpty():
+            break
         if most is None:
             most = nodes.groupBy("t").count().agg(F.max("count")).first()[0]
         if 1 << len(levels) > most:  # what has an ancestor this far up runs in a circle
             break
-        levels.append(jump.select("t", "n", "up"))
-        far = jump.select("t", F.col("n").alias("up"), F.col("up").alias("up2"), F.col("depth").alias("d2"),
-                          F.col("total").alias("s2"))
-        jump = stage(jump.join(far, ["t", "up"], "left").select(
+        levels.append(going.select("t", "n", "up"))
+        far = reduce(DataFrame.union, [going, *ended]).select(
+            "t", F.col("n").alias("up"), F.col("up").alias("up2"), F.col("depth").alias("d2"), F.col("total").alias("s2"))
+        jump = stage(going.join(far, ["t", "up"], "left").select(
             "t", "n", F.col("up2").alias("up"), (F.col("depth") + F.coalesce("d2", F.lit(0))).alias("depth"),
             (F.col("total") + F.coalesce("s2", F.lit(0.0))).alias("total")), f"tree-{len(levels)}")
-    return levels, jump.filter("up IS NULL").select("t", "n", "depth", "total")
+    return levels, reduce(DataFrame.union, ended).select("t", "n", "depth", "total")
 
 
 def format_trees(messages: DataFrame, tree_col: str, node_col: str, parent_col: str, role_col: str, text_col: str,
