@@ -49,56 +49,56 @@ def kmeans_best(x: DataFrame, k: int, restarts: int = 10, seed: int = 42, max_it
     return best
 
 
-def silhouette_sample(df: DataFrame, features_array: str, label: str, id_col: str = "row_id") -> DataFrame:
+def silhouettes(own: np.ndarray, sums: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Silhouette per point from its cluster's place and its distance sums to every cluster."""
+    at = np.arange(len(own))
+    n = sizes[own]
+    a = sums[at, own] / np.maximum(n - 1, 1)
+    other = sums / sizes
+    other[at, own] = np.inf
+    b = other.min(axis=1)
+    top = np.maximum(a, b)
+    ok = (n > 1) & (top > 0) & np.isfinite(top)
+    return np.where(ok, b - a, 0.0) / np.where(ok, top, 1.0)
+
+
+def silhouette_sample(df: DataFrame, features_array: str, label: str, id_col: str = "row_id",
+                      max_rows: int = 50_000) -> DataFrame:
     """K4: exact mean silhouette (Euclidean) of the rows of ``df``.
 
     ``df`` is a bounded sample (K1); its matrix and labels are broadcast once
-    and every task scores its own rows against it. Singleton clusters score 0.
+    and every task scores its own rows against it. More than ``max_rows`` rows
+    are an error (``silhouette_all`` has no bound). Singleton clusters score 0.
     Columns: n, silhouette.
     """
     spark = df.sparkSession
     pts = df.select(id_col, F.col(features_array).cast("array<double>").alias("v"), F.col(label).alias("c"))
-    rows = pts.collect()  # bounded: the sample size is the parameter
+    rows = pts.limit(max_rows + 1).collect()
+    if len(rows) > max_rows:
+        raise ValueError(f"more than {max_rows} rows: sample them, or use silhouette_all")
     mat = np.array([r["v"] for r in rows], dtype=np.float64)
-    lab = np.array([r["c"] for r in rows])
+    names, lab, sizes = np.unique(np.array([r["c"] for r in rows]), return_inverse=True, return_counts=True)
     bc = spark.sparkContext.broadcast((mat, lab))
     schema = T.StructType([T.StructField("s", T.DoubleType())])
 
     def score(batches):
         import pandas as pd
         m, lb = bc.value
-        uniq = np.unique(lb)
+        member = (lb[:, None] == np.arange(len(sizes))).astype(np.float64)
         mm = (m * m).sum(1)
         for b in batches:
             if len(b) == 0:
                 continue
             v_all = np.stack(b["v"].to_numpy())
-            own_all = b["c"].to_numpy()
+            own_all = np.searchsorted(names, b["c"].to_numpy())
             # chunks keep the distance block at <= 256 x n doubles per task
             for lo in range(0, len(v_all), 256):
                 v, own = v_all[lo:lo + 256], own_all[lo:lo + 256]
                 d2 = (v * v).sum(1)[:, None] + mm[None, :] - 2.0 * (v @ m.T)
                 d = np.sqrt(np.maximum(d2, 0.0))
-                mean_to = np.stack([d[:, lb == u].sum(1) for u in uniq], 1)
-                yield pd.DataFrame({"s": _sil(own, mean_to)})
-
-    def _sil(own, mean_to):
-        uniq_l = list(uniq_g)
-        out = np.zeros(len(own))
-        for i, c in enumerate(own):
-            j = uniq_l.index(c)
-            nc = sizes_g[c]
-            if nc <= 1 or len(uniq_l) < 2:
-                continue
-            a = mean_to[i, j] / (nc - 1)
-            bb = min(mean_to[i, t] / sizes_g[u] for t, u in enumerate(uniq_l) if u != c)
-            out[i] = (bb - a) / max(a, bb) if max(a, bb) > 0 else 0.0
-        return out
-
-    uniq_g = np.unique(lab)
-    sizes_g = {u: int((lab == u).sum()) for u in uniq_g}
+                yield pd.DataFrame({"s": silhouettes(own, d @ member, sizes)})
 
-    s = pts.select("v", "c").repartition(max(1, min(len(rows) // 500, 64))).mapInPandas(score, schema)
+    s = pts.select("v", "c").repartition(max(1, len(rows) // 500)).mapInPandas(score, schema)
     return s.agg(F.count(F.lit(1)).cast("bigint").alias("n"), F.avg("s").alias("silhouette"))
 
 
@@ -123,6 +123,15 @@ def sweep(x: DataFrame, ks: Sequence[int], restarts: int, seed: int, sample: Dat
     return spark.createDataFrame(rows, "k int, inertia double, silhouette double")
 
 
+def top_level(df: DataFrame, group: str, col: str, out: str) -> DataFrame:
+    """(group, out): the most frequent value per group, the smallest on ties; nulls don't count.
+
+    Counts come first, so no task holds a group's whole value map.
+    """
+    n = df.where(F.col(col).isNotNull()).groupBy(group, F.col(col).alias(out)).agg(F.count(F.lit(1)).alias("_top_n"))
+    return n.groupBy(group).agg(F.min_by(out, F.struct(-F.col("_top_n"), F.col(out))).alias(out))
+
+
 def segment_profiles(pred: DataFrame, cluster: str = "cluster", ndigits: int = 2) -> DataFrame:
     """K5 (A8-A10): size, means, exact median price, top country/variety
     (deterministic mode: smallest value on ties), share %, by mean points."""
@@ -133,12 +142,13 @@ def segment_profiles(pred: DataFrame, cluster: str = "cluster", ndigits: int = 2
         F.round(F.avg("age"), ndigits).alias("age"),
         F.round(F.avg("desc_words"), ndigits).alias("desc_words"),
         F.round(F.avg(F.col("high_quality").cast("double")), ndigits).alias("high_quality"),
-        F.mode("country", deterministic=True).alias("country_top"),
-        F.mode("variety", deterministic=True).alias("variety_top"),
         F.round(100.0 * F.count(F.lit(1)) / F.lit(total), 1).alias("share_pct"))
     med = exact_quantiles(pred, "price", [0.5], [cluster]).select(
         cluster, F.round("price", ndigits).alias("price_median"))
-    return prof.join(med, cluster, "left").orderBy(F.desc("points"))
+    tops = [top_level(pred, cluster, c, f"{c}_top") for c in ("country", "variety")]
+    for part in (*tops, med):
+        prof = prof.join(part, cluster, "left")
+    return prof.orderBy(F.desc("points"))
 
 
 def pca_2d(x: DataFrame, sample: DataFrame, features: str = "features", k: int = 2):

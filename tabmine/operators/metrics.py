@@ -96,12 +96,17 @@ def curve_points(scores: DataFrame, groups: Sequence[str] = ("model",), y: str =
 
 
 def operating_points(curve: DataFrame, groups: Sequence[str] = ("model",), max_fpr: float = 0.05,
-                     recalls: Sequence[float] = (0.7, 0.8)) -> DataFrame:
-    """Best TPR with FPR <= max_fpr; best precision with recall >= r."""
-    aggs = [F.max(F.when(F.col("fpr") <= F.lit(max_fpr), F.col("tpr"))).alias("tpr_at_fpr")]
+                     recalls: Sequence[float] = (0.7, 0.8), ndigits: int = 6) -> DataFrame:
+    """Best TPR with FPR <= max_fpr; best precision with recall >= r.
+
+    ``curve`` comes from ``curve_points(..., ndigits=None)``: bounds hold for
+    the unrounded rates, only the results are rounded.
+    """
+    best = lambda ok, c: F.round(F.max(F.when(ok, F.col(c))), ndigits)
+    aggs = [best(F.col("fpr") <= F.lit(max_fpr), "tpr").alias("tpr_at_fpr")]
     for rc in recalls:
         tag = str(rc).replace("0.", "").replace(".", "")
-        aggs.append(F.max(F.when(F.col("recall") >= F.lit(rc), F.col("precision"))).alias(f"precision_at_recall_{tag}"))
+        aggs.append(best(F.col("recall") >= F.lit(rc), "precision").alias(f"precision_at_recall_{tag}"))
     return curve.groupBy(*groups).agg(*aggs)
 
 

@@ -52,7 +52,17 @@ def kfold_assign(df: DataFrame, label: str, k: int = 5, seed: int = 42, id_col:
 
 
 def sample_n(df: DataFrame, n: int, seed: int = 42, id_col: str = "row_id") -> DataFrame:
-    """K1: n rows without replacement — the n smallest hashes (distributed
-    take-ordered; the sample size is the bound on what is gathered)."""
-    return (df.withColumn("_h", order_key(id_col, seed))
-              .orderBy("_h", id_col).limit(n).drop("_h"))
+    """K1: n rows without replacement — the n smallest hashes.
+
+    Hashes are even, so a cut a little above n / rows leaves little more than
+    n rows to order, whatever the number of partitions. If hashes are few and
+    repeated and the cut leaves less than n, all rows are ordered.
+    """
+    h = df.withColumn("_h", order_key(id_col, seed))
+    key = df.select(order_key(id_col, seed).alias("_h"))
+    total = key.count()
+    if total > 2 * n:
+        cut = int((n + 8 * n ** 0.5 + 16) / total * 2 ** 52)
+        if cut < 2 ** 52 and key.where(F.col("_h") < cut).count() >= n:
+            h = h.where(F.col("_h") < cut)
+    return h.orderBy("_h", id_col).limit(n).drop("_h")

@@ -3,12 +3,12 @@ embeddings table."""
 
 from __future__ import annotations
 
-from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from tabmine.operators.clean import clean_reviews
 from tabmine.operators.cluster import (as_vector, assign_fixed, kmeans_best, label_centres, pca_2d,
-                                       segment_profiles, silhouette_sample, standardized_matrix, sweep)
+                                       segment_profiles, silhouette_all, silhouette_sample, standardized_matrix,
+                                       sweep)
 from tabmine.operators.split import sample_n
 from tabmine.plans.registry import query
 from tabmine.session import materialize
@@ -17,7 +17,8 @@ from tabmine.spec import ORDERS
 
 K_FEATS = ["points", "log_price", "age", "desc_words"]
 SEED = ORDERS.seed
-SAMPLE = 15000
+#: Rows of the sampled silhouettes.
+SAMPLE, EMB_SAMPLE = 15000, 400
 
 EMB_SQL = """
 WITH e AS (SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS v FROM embeddings)"""
@@ -46,10 +47,10 @@ def kmeans_profiles(spark, sf_dir):
 
 @query("pca_2d")
 def pca_2d_q(spark, sf_dir):
-    """K6: explained-variance ratio of two components and the projected
-    sample (summarised per component)."""
+    """K6: explained-variance ratio of two components and the spread of all
+    projected rows along each."""
     x = _matrix(spark, sf_dir)
-    ev, proj = pca_2d(x, sample_n(x, SAMPLE, SEED))
+    ev, proj = pca_2d(x, x)
     stats = proj.agg(*[F.avg(f"pc{i}").alias(f"m{i}") for i in (1, 2)],
                      *[F.stddev_pop(f"pc{i}").alias(f"s{i}") for i in (1, 2)], F.count(F.lit(1)).alias("n")).first()
     rows = [(f"pc{i}", float(ev[i - 1]), float(stats[f"s{i}"]), int(stats["n"])) for i in (1, 2)]
@@ -78,23 +79,46 @@ def kmeans_assign_fixed(spark, sf_dir):
     return a.select("vec_id", "label", F.col("cluster").cast("int").alias("cluster"), F.round("d2", 6).alias("d2"))
 
 
-@query("silhouette_sample", EMB_SQL + """,
-pd AS (SELECT a.vec_id, a.label AS la, b.label AS lb,
-              sqrt(list_sum(list_transform(list_zip(a.v, b.v), lambda p: (p[1] - p[2]) * (p[1] - p[2])))) AS d
-       FROM e a JOIN e b ON a.vec_id <> b.vec_id),
-per AS (SELECT vec_id, la, lb, avg(d) AS md FROM pd GROUP BY ALL),
+def _silhouette_sql(rows: str, distance: str) -> str:
+    """Mean silhouette of ``rows`` by label, ``distance`` an expression over the squared distance d2."""
+    return EMB_SQL + f""",
+s AS ({rows}),
+sq AS (SELECT a.vec_id, a.label AS la, b.label AS lb,
+              list_sum(list_transform(list_zip(a.v, b.v), lambda p: (p[1] - p[2]) * (p[1] - p[2]))) AS d2
+       FROM s a JOIN s b ON a.vec_id <> b.vec_id),
+per AS (SELECT vec_id, la, lb, avg({distance}) AS md FROM sq GROUP BY ALL),
 ab AS (SELECT vec_id, max(md) FILTER (WHERE la = lb) AS a, min(md) FILTER (WHERE la <> lb) AS b FROM per GROUP BY vec_id)
 SELECT CAST(count(*) AS BIGINT) AS n,
        round(avg(CASE WHEN a IS NULL OR b IS NULL THEN 0.0 ELSE (b - a) / greatest(a, b) END), 6) AS silhouette
-FROM ab""")
+FROM ab"""
+
+
+@query("silhouette_sample", _silhouette_sql(f"""SELECT * FROM e
+    ORDER BY substr(md5(concat_ws('-', vec_id, {SEED})), 1, 13), vec_id LIMIT {EMB_SAMPLE}""", "sqrt(d2)"))
 def silhouette_sample_q(spark, sf_dir):
     """K4: exact silhouette with the label as cluster, on the K1 sample of
-    up to 15 000 embeddings."""
-    e = sample_n(_emb(spark, sf_dir).withColumnRenamed("vec_id", "row_id"), SAMPLE, SEED)
+    400 embeddings (both sides draw the same rows)."""
+    e = sample_n(_emb(spark, sf_dir).withColumnRenamed("vec_id", "row_id"), EMB_SAMPLE, SEED)
     s = silhouette_sample(e, "embedding", "label")
     return s.select("n", F.round("silhouette", 6).alias("silhouette"))
 
 
+@query("silhouette_all", _silhouette_sql("SELECT * FROM e", "d2"))
+def silhouette_all_q(spark, sf_dir):
+    """K4 on every row: squared-Euclidean silhouette, the label as cluster."""
+    e = as_vector(_emb(spark, sf_dir), "embedding").withColumn("label", F.col("label").cast("double"))
+    value = silhouette_all(e, "features", "label")
+    return e.agg(F.count(F.lit(1)).cast("bigint").alias("n")).withColumn("silhouette", F.round(F.lit(value), 6))
+
+
+@query("pca_points")
+def pca_points(spark, sf_dir):
+    """K6: every row's first two components and its segment (k = 4)."""
+    x = _matrix(spark, sf_dir)
+    p = kmeans_best(x, 4, 10, SEED).transform(x).select("row_id", "features", "cluster")
+    return pca_2d(x, p)[1]
+
+
 @query("kmeans_embeddings")
 def kmeans_embeddings(spark, sf_dir):
     """K2 on embeddings: k = number of labels, profile of cluster sizes and

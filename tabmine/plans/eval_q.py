@@ -83,12 +83,14 @@ def pr_points(spark, sf_dir):
 
 
 @query("operating_points", sql.scores() + CUM_SQL + """
-SELECT model, max(tpr) FILTER (WHERE fpr <= 0.05) AS tpr_at_fpr,
-       max(precision) FILTER (WHERE recall >= 0.7) AS precision_at_recall_7,
-       max(precision) FILTER (WHERE recall >= 0.8) AS precision_at_recall_8
-FROM cp GROUP BY model""")
+, op AS (SELECT model, (pos_total - pos_before) / pos_total AS recall, (neg_total - neg_before) / neg_total AS fpr,
+                (pos_total - pos_before) / ((pos_total - pos_before) + (neg_total - neg_before)) AS precision FROM cum)
+SELECT model, round(max(recall) FILTER (WHERE fpr <= 0.05), 6) AS tpr_at_fpr,
+       round(max(precision) FILTER (WHERE recall >= 0.7), 6) AS precision_at_recall_7,
+       round(max(precision) FILTER (WHERE recall >= 0.8), 6) AS precision_at_recall_8
+FROM op GROUP BY model""")
 def operating_points_q(spark, sf_dir):
-    return operating_points(curve_points(scored(spark, sf_dir)))
+    return operating_points(curve_points(scored(spark, sf_dir), ndigits=None))
 
 
 @query("leaderboard", sql.scores() + COUNTS_SQL + CUM_SQL + """

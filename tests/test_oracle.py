@@ -13,7 +13,8 @@ from tabmine.sources.views import TABLES
 FAST = ["band_quality", "dup_count", "clean_text", "vintage_age", "missing_profile", "describe_numeric",
         "top_countries", "box_stats_top10", "hist_log_price", "density2d", "spearman", "kruskal_taster",
         "holdout_split", "roc_auc", "avg_precision", "leaderboard", "calibration", "error_by_band",
-        "tfidf_terms", "kmeans_assign_fixed", "silhouette_sample", "baseline_majority"]
+        "tfidf_terms", "kmeans_assign_fixed", "silhouette_sample", "silhouette_all",
+        "baseline_majority", "operating_points", "model_roundtrip"]
 
 
 @pytest.fixture(scope="module")

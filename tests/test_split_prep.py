@@ -2,7 +2,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tabmine.operators.prep import TabularPrep, fit_medians
-from tabmine.operators.split import holdout_split, kfold_assign, sample_n
+from tabmine.operators.split import holdout_split, kfold_assign, order_key, sample_n
 from tabmine.sources.views import orders_review
 from tabmine.spec import FeatureSpec
 from fixtures import SF_SMALL
@@ -43,10 +43,20 @@ def test_median_interpolates(spark):
 def test_prep_constants_ignore_test_rows(spark):
     spec = FeatureSpec(num=("price",), bin=(), cat=("country",), text=None, target="y")
     d = holdout_split(_labelled(spark), "y", 0.2, 42)
-    tr = d.where(F.col("split") == "train")
-    a = TabularPrep(spec, 20).fit(tr)
-    te_changed = d.where(F.col("split") == "test").withColumn("price", F.lit(1e9))
-    b = TabularPrep(spec, 20).fit(tr.unionByName(te_changed.limit(0)))
+    test = F.col("split") == "test"
+    changed = d.withColumns({"price": F.when(test, 1e9).otherwise(F.col("price")),
+                             "country": F.when(test, "Atlantis").otherwise(F.col("country"))})
+    a, b = (TabularPrep(spec, 20).fit(x.where(~test)) for x in (d, changed))
     assert a.medians == b.medians and a.scaler == b.scaler and a.levels == b.levels
-    out = a.transform(te_changed)
-    assert out.select("features").count() == te_changed.count()
+    everything = TabularPrep(spec, 20).fit(changed)  # what a leak would look like
+    assert everything.scaler != a.scaler and everything.levels != a.levels
+    assert a.transform(changed.where(test)).select("features").count() == d.where(test).count()
+
+
+def test_sample_takes_the_smallest_hashes_of_a_large_table(spark):
+    big = spark.range(20_000).withColumnRenamed("id", "row_id")
+    got = {r[0] for r in sample_n(big, 50, 7).collect()}
+    want = {r[0] for r in big.orderBy(order_key("row_id", 7), "row_id").limit(50).collect()}
+    assert got == want
+    same = big.withColumn("row_id", F.lit(1))  # one hash: the cut can't work
+    assert sample_n(same, 50, 7).count() == 50
