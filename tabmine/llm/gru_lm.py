@@ -356,14 +356,14 @@ def scorer(vocab: Vocabulary, hidden: int, flat: np.ndarray, window: int, n_lane
     return run
 
 
-def score_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", folds: int = 10, train_share: int = 8,
+def score_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", folds: int = 10, train_share: int = 1,
                 vocabulary: int = 1000, classes: int = 32, hidden: int = 24, window: int = 16, n_lanes: int = 256) -> DataFrame:
     """One row per row of ``docs``: id_col, held_out, n_tokens, n_known, train_tokens, base_score, score.
 
     Learns from rows whose crc32(identifier as text) mod ``folds`` is not 0. All
-    of their tokens are counted; the network is trained on the whole texts of one
-    in ``train_share`` of them, drawn by hash, so its training grows with the
-    corpus as the counts do. base_score is the add-0.1 unigram log10 probability,
+    of their tokens are counted, and the network is trained on the whole texts of
+    all of them, each once; a ``train_share`` above 1 keeps one in so many of
+    them for the network, drawn by hash. base_score is the add-0.1 unigram log10 probability,
     score the model's; both cover every token of every text and its end.
 
     Null counts as the empty text, which is its end alone. Repeated rows are
@@ -383,8 +383,9 @@ def score_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     if not len(hot):
         hot = counts.sparkSession.createDataFrame([(key(END), 0)], "h long, c long").toPandas()
     vocab = Vocabulary(hot["h"].to_numpy(), hot["c"].to_numpy(), vocabulary, classes)
-    sample = train_docs.filter(F.pmod(F.xxhash64(F.lit("train"), F.col(id_col).cast("string"), text_of(text_col)), F.lit(train_share)) == 0)
-    flat = train(sample, text_col, vocab, hidden, window, min(n_lanes, 128))
+    learnt = train_docs if train_share == 1 else train_docs.filter(
+        F.pmod(F.xxhash64(F.lit("train"), F.col(id_col).cast("string"), text_of(text_col)), F.lit(train_share)) == 0)
+    flat = train(learnt, text_col, vocab, hidden, window, min(n_lanes, 128))
     head = vocab.counts[:vocab.size]
     n_tail, v_tail = int(n - head.sum()), max(0, int(v - vocab.size))
 

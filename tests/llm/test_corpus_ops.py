@@ -271,6 +271,14 @@ def test_lm_base_and_gain(spark):
     assert gru_lm.score_texts(docs_of(spark, [])).count() == 0
 
 
+def test_lm_network_sees_every_training_text(spark, monkeypatch):
+    texts = [(i, f"text {i}") for i in range(60)] + [(7, "text 7"), (None, None)]
+    seen, train = [], gru_lm.train
+    monkeypatch.setattr(gru_lm, "train", lambda docs, *a, **k: (seen.extend(r.doc_id for r in docs.collect()), train(docs, *a, **k))[1])
+    got = gru_lm.score_texts(docs_of(spark, texts)).collect()
+    assert sorted(map(str, seen)) == sorted(str(r.doc_id) for r in got if not r.held_out)
+
+
 def test_lm_gradients_and_carried_state():
     rng = np.random.default_rng(0)
     vocab = gru_lm.Vocabulary(np.arange(9), np.arange(9, 0, -1), 6, 3)
