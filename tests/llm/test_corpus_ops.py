@@ -235,6 +235,44 @@ def test_period_is_earliest_deadline_first(spark):
         pfair_mix.quotas(spark.createDataFrame([(str(i), 1, 1.0) for i in range(5)], "s string, rows long, weight double"), 4)
 
 
+def lags(slots_of, weights, until):
+    """The largest distance of a source from its exact share, in blocks, over all slots before ``until``."""
+    total, had, worst = sum(weights.values()), collections.Counter(), 0
+    for t in range(until):
+        had[slots_of[t]] += 1
+        worst = max(worst, *(abs(had[s] - Fraction((t + 1) * w, total)) for s, w in weights.items()))
+    return worst
+
+
+def first_end(slots_of):
+    return min({s: t for t, s in enumerate(slots_of)}.values())
+
+
+@pytest.mark.parametrize("weights,rows", [
+    ([4, 3, 2, 1], [3200, 2400, 1600, 800]), ([500] + [1] * 500, [50_000] + [100] * 500),
+    ([Fraction(3333 ** 0.5)] + [Fraction(351 ** 0.5)] * 19, [30_000] + [30_000] * 19), ([7] * 1500, [20] * 1500)])
+def test_schedule_keeps_exact_weights(weights, rows):
+    whole = pfair_mix.whole_weights([float(w) for w in weights])
+    got = list(pfair_mix.schedule(rows, whole, 4))
+    order = [g[0] for g in got]
+    assert lags(order, dict(enumerate(whole)), first_end(order) if len(set(weights)) > 2 or len(rows) < 100 else 3000) < 1
+    assert [g[2] for g in got] == list(range(sum(-(-n // 4) for n in rows)))
+    assert sorted((g[0], g[1]) for g in got) == [(j, k) for j, n in enumerate(rows) for k in range(-(-n // 4))]
+
+
+def test_mix_keeps_given_weights_over_many_periods(spark):
+    share = {"a": 400, "b": 300, "c": 200, "d": 100}
+    docs = spark.range(4000).selectExpr("id AS doc_id", "substr('aaaabbbccd', CAST(id % 10 AS INT) + 1, 1) AS source")
+    w = spark.createDataFrame([(s, x / 1000) for s, x in share.items()], "source string, weight double")
+    rows = sorted(pfair_mix.mix(docs, weights=w, block_rows=2, slots=50).collect(), key=lambda r: r.mix_pos)
+    assert [r.mix_pos for r in rows] == list(range(4000))
+    order = [r.source for r in rows if r.mix_pos % 2 == 0]
+    assert [r.slot for r in rows] == [i // 2 for i in range(4000)] and lags(order, share, first_end(order)) < 1
+    many = spark.range(3000).selectExpr("id AS doc_id", "id % 1200 AS source")  # more sources than slots
+    got = pfair_mix.mix(many, block_rows=2).collect()
+    assert sorted(r.mix_pos for r in got) == list(range(3000))
+
+
 # --- quality
 
 def test_quality(spark):
