@@ -2,8 +2,9 @@ r"""Personal data by bootstrapped contextual extraction.
 
 Fixed patterns find the seed entities: emails, IPv4 addresses, payment cards,
 phone numbers. The two tokens before each seed are its lexical pattern; every
-other identifier-like token (one with a digit or an at sign) with its two
-tokens before is an instance not labelled yet. Spark scores the graph of
+other identifier-like token (one with a digit or an at sign), and every run of
+such tokens beside one another, with its two tokens before is an instance not
+labelled yet. Spark scores the graph of
 patterns and instances in rounds: a pattern is as sure as the instances it
 takes in, an instance as sure as the patterns that take it in. Sure patterns
 then mark the instances nobody had seen.
@@ -12,6 +13,7 @@ then mark the instances nobody had seen.
 from __future__ import annotations
 
 import re
+from bisect import bisect_left
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -28,7 +30,9 @@ IP = re.compile(r"(?<![0-9])[0-9]++(\.[0-9]++)(\.[0-9]++)(\.[0-9]++)")
 CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 LOCAL_CHARS = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
-CANDIDATE = re.compile(r"(?<!\S)(?=\S*[0-9@])\S{5,64}(?!\S)")
+MARK = re.compile("[0-9@]")
+#: Shorter values are no identifier of any kind.
+LEAST = 5
 EDGE = "\"'`()[]{}<>.,;:!?=*#$%&"
 WORD = re.compile(r"\S+")
 
@@ -72,39 +76,74 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
     return sorted(out)
 
 
-def context(text: str, start: int) -> str:
-    """The two tokens before ``start``, lower-cased, digits as 0; marked where the text begins."""
-    before = WORD.findall(text[max(0, start - 80):start])[-2:]
+def context(text: str, start: int, words: list[tuple[int, int]], starts: list[int]) -> str:
+    """The two tokens before ``start``, lower-cased, digits as 0; marked where the text begins.
+
+    ``words`` are the places of the text's tokens, ``starts`` where they begin.
+    """
+    i = bisect_left(starts, start)
+    before = [text[a:min(b, start)] for a, b in words[max(0, i - 2):i]]
     return re.sub("[0-9]", "0", " ".join(["^"] * (2 - len(before)) + before).lower())
 
 
-def instances(text: str, spans: list[tuple[int, int, int]]) -> list[tuple[int, int, int, str, str]]:
-    """(start, kind, end, value, pattern): the seeds, and with kind -1 the other identifier-like tokens."""
-    out = [(a, k, b, text[a:b].lower(), context(text, a)) for a, k, b in spans]
-    i = 0
-    for m in CANDIDATE.finditer(text):
-        token = m[0].strip(EDGE)
-        if len(token) < 5 or not any(c.isdigit() or c == "@" for c in token):
-            continue
-        a = m.start() + m[0].index(token)
-        b = a + len(token)
-        while i < len(spans) and spans[i][2] <= a:
+def trimmed(text: str, a: int, b: int) -> tuple[int, int]:
+    """``a`` and ``b`` without the marks around a value; a parenthesis that closes inside it stays."""
+    value = text[a:b]
+    end = a + len(value.rstrip(EDGE))
+    start = b - len(value.lstrip(EDGE))
+    if start > a and text[start - 1] == "(" and ")" in text[start:end]:
+        start -= 1
+    elif start < end < b and text[end] == ")" and "(" in text[start:end]:
+        end += 1
+    return start, end
+
+
+def runs(text: str, words: list[tuple[int, int]], spans: list[tuple[int, int, int]]) -> Iterator[list[tuple[int, int]]]:
+    """Tokens with a digit or an at sign beside one another on a line; a seed or the end of a clause ends a run."""
+    i, reach, run = 0, 0, []
+    for a, b in words:
+        while i < len(spans) and spans[i][0] < b:
+            reach = max(reach, spans[i][2])  # spans are sorted by start
             i += 1
-        if any(s[0] < b and a < s[2] for s in spans[max(0, i - 3):i + 4]):
-            continue
-        out.append((a, -1, b, token.lower(), context(text, a)))
+        own = reach <= a and MARK.search(text, a, b)
+        if run and (not own or "\n" in text[run[-1][1]:a]):
+            yield run
+            run = []
+        if own:
+            run.append((a, b))
+            if text[b - 1] in ",;:.!?":
+                yield run
+                run = []
+    if run:
+        yield run
+
+
+def instances(text: str, spans: list[tuple[int, int, int]]) -> list[tuple[int, int, int, str, str, int, bool]]:
+    """(start, kind, end, value, pattern, run, whole): the seeds, and with kind -1 the other identifier-like tokens
+    and whole runs of several; run is where a token's or a run's run starts."""
+    words = [m.span() for m in WORD.finditer(text)]
+    starts = [a for a, _ in words]
+    out = [(a, k, b, text[a:b].lower(), context(text, a, words, starts), a, False) for a, k, b in spans]
+    for run in runs(text, words, spans):
+        parts = [(*w, False) for w in run]
+        if len(run) > 1:
+            parts.append((run[0][0], run[-1][1], True))
+        for a, b, whole in parts:
+            a, b = trimmed(text, a, b)
+            if b - a >= LEAST and MARK.search(text, a, b):
+                out.append((a, -1, b, text[a:b].lower(), context(text, a, words, starts), run[0][0], whole))
     return out
 
 
 def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     one = pa.struct([("start", pa.int32()), ("kind", pa.int32()), ("end", pa.int32())])
-    two = pa.struct([*one, ("value", pa.string()), ("pattern", pa.string())])
+    two = pa.struct([*one, ("value", pa.string()), ("pattern", pa.string()), ("run", pa.int32()), ("whole", pa.bool_())])
     for batch in batches:
         spans, found = [], []
         for t in batch.column(1).to_pylist():
             s = base_spans(t or "")
             spans.append([dict(zip(("start", "kind", "end"), x)) for x in s])
-            found.append([dict(zip(("start", "kind", "end", "value", "pattern"), x)) for x in instances(t or "", s)])
+            found.append([dict(zip(two.names, x)) for x in instances(t or "", s)])
         yield pa.record_batch([batch.column(0), pa.array(spans, pa.list_(one)), pa.array(found, pa.list_(two))], ["id", "base", "found"])
 
 
@@ -119,7 +158,8 @@ def find_personal_data(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     its instances (seeds of the kind 1, of another kind 0, others what their
     patterns gave them the round before, at first 0). Instances of a pattern
     with confidence ``sure`` or more are taken in, those of several kinds by the
-    surest pattern. Clean texts have no spans.
+    surest pattern; a run that is taken in goes before the tokens inside it.
+    Clean texts have no spans.
 
     Null counts as the empty text. Repeated rows are searched each. An empty
     table gives an empty result; further columns are not read. Only (pattern,
@@ -128,7 +168,8 @@ def find_personal_data(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     kind = docs.schema[id_col].dataType.simpleString()
     span = "array<struct<start: int, kind: int, end: int>>"
     rows = docs.select(F.col(id_col).alias("id"), text_of(text_col).alias("x")).mapInArrow(
-        _scan, f"id {kind}, base {span}, found array<struct<start: int, kind: int, end: int, value: string, pattern: string>>")
+        _scan, f"id {kind}, base {span}, found array<struct<start: int, kind: int, end: int, value: string, pattern: string, "
+        "run: int, whole: boolean>>")
     rows = stage(rows.withColumn("row", F.monotonically_increasing_id()), "pii-rows")
     found = rows.select("row", F.explode("found").alias("f")).select("row", "f.*")
     # the graph: one edge per pattern and value; a value once seen as a seed is one
@@ -153,8 +194,11 @@ def find_personal_data(docs: DataFrame, id_col: str = "doc_id", text_col: str =
         belief = stage(belief, "pii-instances")
     best = trust.filter(F.col("trust") >= sure).groupBy("pattern").agg(
         F.max(F.struct("trust", (-F.col("k")).alias("k"))).alias("b")).select("pattern", (-F.col("b.k")).cast("int").alias("k"))
-    new = (found.filter("kind < 0").join(best, "pattern")
-           .groupBy("row").agg(F.collect_list(F.struct("start", F.col("k").alias("kind"), "end")).alias("new")))
+    one = F.struct("start", F.col("k").alias("kind"), "end")
+    new = (found.filter("kind < 0").join(best, "pattern").groupBy("row", "run")
+           .agg(F.collect_list(F.when(~F.col("whole"), one)).alias("parts"), F.max(F.when(F.col("whole"), one)).alias("all"))
+           .withColumn("new", F.when(F.col("all").isNull(), F.col("parts")).otherwise(F.array("all")))
+           .groupBy("row").agg(F.flatten(F.collect_list("new")).alias("new")))
     out = rows.select("row", "id", "base").join(new, "row", "left")
     spans = F.array_sort(F.concat("base", F.coalesce("new", F.array().cast(span))))
     return out.select(F.col("id").alias(id_col), "base", spans.alias("spans"))

@@ -378,3 +378,24 @@ def test_contexts_find_unseen(spark):
     want = sorted((str(i), brute_spans(t)) for i, t in texts)
     assert sorted((str(r.doc_id), [tuple(s) for s in r.base]) for r in got) == want
     assert pii_bootstrap.find_personal_data(docs_of(spark, [])).count() == 0
+
+
+def found_new(spark, texts):
+    got = pii_bootstrap.find_personal_data(docs_of(spark, texts)).collect()
+    text = dict(texts)
+    return {r.doc_id: [text[r.doc_id][a:b] for a, _, b in r.spans if (a, _, b) not in [tuple(s) for s in r.base]]
+            for r in got if len(r.spans) > len(r.base)}
+
+
+def test_spaced_and_long_identifiers_are_found(spark):
+    long = "x" * 70 + "7"
+    texts = [(i, f"please call me at +1 (446) 555-{8000 + i} today") for i in range(60)]
+    cards = [d for d in range(4 * 10**15, 4 * 10**15 + 700) if pii_bootstrap.luhn(str(d))][:60]
+    texts += [(200 + i, f"charge my card {d} now") for i, d in enumerate(cards)]
+    texts += [(400, "do call me at 555 123 4567 please"), (401, "so call me at (555) 123-4567, 20 times"),
+              (402, "charge my card 12 34 56 78 now"), (403, f"charge my card {long} now"),
+              (405, "call me at\n555 123 4567\n12 apples")]
+    assert found_new(spark, texts) == {400: ["555 123 4567"], 401: ["(555) 123-4567"], 402: ["12 34 56 78"], 403: [long],
+                                       405: ["555 123 4567"]}
+    far = pii_bootstrap.instances(f"At {'y' * 90} 5551234", [])  # the tokens before, however long
+    assert [x[3:5] for x in far] == [("5551234", f"at {'y' * 90}")]
