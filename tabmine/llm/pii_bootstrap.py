@@ -6,7 +6,7 @@ other identifier-like token (one with a digit or an at sign), and every run of
 such tokens beside one another, with its two tokens before is an instance not
 labelled yet. Spark scores the graph of
 patterns and instances in rounds: a pattern is as sure as the instances it
-takes in, an instance as sure as the patterns that take it in. Sure patterns
+takes in, an instance as sure as the other patterns that take it in. Sure patterns
 then mark the instances nobody had seen.
 """
 
@@ -155,8 +155,9 @@ def find_personal_data(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     ``base`` holds what the fixed patterns find; ``spans`` adds what the sure
     patterns discover. A pattern counts for a kind once it takes in at least
     ``support`` different instances; its confidence is the mean certainty of
-    its instances (seeds of the kind 1, of another kind 0, others what their
-    patterns gave them the round before, at first 0). Instances of a pattern
+    its instances (seeds of the kind 1, of another kind 0, others the most that one
+    of their other patterns had the round before, at first 0): a pattern never
+    vouches for itself. Instances of a pattern
     with confidence ``sure`` or more are taken in, those of several kinds by the
     surest pattern; a run that is taken in goes before the tokens inside it.
     Clean texts have no spans.
@@ -180,18 +181,23 @@ def find_personal_data(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     edges = stage(edges.join(busy, "pattern"), "pii-edges")
     kinds = F.explode(F.array(*[F.lit(k) for k in range(len(KINDS))])).alias("k")
     belief = None
-    for _ in range(rounds):
+    for i in range(rounds):
         seen = edges.select("pattern", "value", "kind", "n", kinds)
         if belief is None:
             seen = seen.withColumn("r", F.lit(0.0))
-        else:
-            seen = seen.join(belief, ["value", "k"], "left").withColumn("r", F.coalesce("r", F.lit(0.0)))
+        else:  # a pattern doesn't vouch for itself: what the value has from its other patterns counts
+            seen = seen.join(belief, ["value", "k"], "left").withColumn(
+                "r", F.coalesce(F.when(F.col("pattern") == F.col("top.pattern"), F.col("next")).otherwise(F.col("top.trust")), F.lit(0.0)))
         seed = F.when(F.col("kind") == F.col("k"), 1.0).when(F.col("kind") >= 0, 0.0).otherwise(F.col("r"))
         trust = stage(seen.groupBy("pattern", "k").agg((F.sum(seed) / F.max("n")).alias("trust")).filter("trust > 0"),
                       "pii-patterns")
-        belief = (edges.filter("kind < 0").select("pattern", "value").join(trust, "pattern")
-                  .groupBy("value", "k").agg(F.max("trust").alias("r")))
-        belief = stage(belief, "pii-instances")
+        if i + 1 < rounds:
+            given = edges.filter("kind < 0").select("pattern", "value").join(trust, "pattern")
+            top = given.groupBy("value", "k").agg(F.max(F.struct("trust", "pattern")).alias("top"))
+            top = stage(top, "pii-instances")
+            after = (given.join(top, ["value", "k"]).filter(F.col("pattern") != F.col("top.pattern"))
+                     .groupBy("value", "k").agg(F.max("trust").alias("next")))
+            belief = stage(top.join(after, ["value", "k"], "left"), "pii-beliefs")
     best = trust.filter(F.col("trust") >= sure).groupBy("pattern").agg(
         F.max(F.struct("trust", (-F.col("k")).alias("k"))).alias("b")).select("pattern", (-F.col("b.k")).cast("int").alias("k"))
     one = F.struct("start", F.col("k").alias("kind"), "end")

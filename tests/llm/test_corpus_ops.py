@@ -399,3 +399,13 @@ def test_spaced_and_long_identifiers_are_found(spark):
                                        405: ["555 123 4567"]}
     far = pii_bootstrap.instances(f"At {'y' * 90} 5551234", [])  # the tokens before, however long
     assert [x[3:5] for x in far] == [("5551234", f"at {'y' * 90}")]
+
+
+def test_half_seeded_pattern_discovers_nothing(spark):
+    texts = [(i, f"seen at server 10.0.{i}.7 up") for i in range(45)] + [(100 + i, f"seen at server v{i}.20.3b up") for i in range(55)]
+    assert found_new(spark, texts) == {}
+    # a value that a sure pattern takes in counts for another pattern too
+    texts = [(i, f"host address 10.1.{i}.7 up") for i in range(95)] + [(200 + i, f"host address box{i}-77 up") for i in range(5)]
+    texts += [(300 + i, f"ping box{i}-77 now") for i in range(5)] + [(400 + i, f"ping 10.2.{i}.7 now") for i in range(5)]
+    texts += [(500, "ping unit9-99 now")]
+    assert found_new(spark, texts) == {**{200 + i: [f"box{i}-77"] for i in range(5)}, **{300 + i: [f"box{i}-77"] for i in range(5)}, 500: ["unit9-99"]}
