@@ -76,7 +76,7 @@ def baseline_majority(spark, sf_dir):
 def cv_compare(spark, sf_dir):
     """M9: 5-fold CV (mean, population std) of the tabular candidates."""
     tr, _ = orders_split(spark, sf_dir)
-    scores, fit_s = cross_validate(_by_name("baseline", "lr_tabular", "tree", "boosting"), tr, SPEC, 5,
+    scores, fit_s = cross_validate(_by_name("baseline", "lr_tabular", "tree", "forest", "boosting"), tr, SPEC, 5,
                                    MIN_FREQ, SEED)
     return cv_summary(scores, fit_s)
 

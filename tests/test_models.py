@@ -130,3 +130,14 @@ def test_operating_points_hold_the_bound_unrounded(spark):
                                   "model string, fpr double, tpr double, precision double, recall double")
     r = operating_points(curve).first()
     assert r["tpr_at_fpr"] == 0.6 and r["precision_at_recall_7"] is None
+
+
+def test_cv_compare_takes_every_tabular_candidate(monkeypatch):
+    from tabmine.operators.models import default_candidates
+    from tabmine.plans import model_q
+    seen = []
+    monkeypatch.setattr(model_q, "orders_split", lambda *a: (None, None))
+    monkeypatch.setattr(model_q, "cross_validate", lambda cands, *a: (seen.extend(c.name for c in cands), None))
+    monkeypatch.setattr(model_q, "cv_summary", lambda *a: None)
+    model_q.cv_compare(None, None)
+    assert seen == [c.name for c in default_candidates() if not c.text]
