@@ -130,8 +130,9 @@ RULES = [url_filter.Rule(*r) for r in (
 LABELLED_HOSTS = {
     1: ["spam-farm", "free-bets", "casino-win", "cheap-pills", "ads-track", "win-casino", "bets-free", "pills-cheap",
         "track-ads", "spam-bets", "casino-bets", "free-pills"],
-    0: ["tionsh", "tionble", "ththth", "thther", "ththon", "therha", "ththre", "therin", "tionnd", "ththed", "thering",
-        "tiontion", "ththan", "therti", "ththes", "tionhe", "thereat", "ththin", "tionwh", "theren"],
+    0: ["garden-notes", "city-library", "weather-report", "history-museum", "river-walks", "kitchen-table", "school-math",
+        "the-northern-herald", "station-times", "mathematics", "nature-trust", "therapy-centre", "open-letters", "astronomy",
+        "bird-watching", "the-other-path", "train-stations", "harbour-lights", "translation", "thread-and-needle"],
 }
 
 

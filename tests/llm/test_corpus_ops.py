@@ -190,6 +190,18 @@ def test_urls(spark):
     assert len(got) == len(urls) and url_filter.judge(df.limit(0), model, RULES).count() == 0
 
 
+def test_url_labels_are_not_the_judged_hosts(spark):
+    import pyarrow.parquet as pq
+    from tabmine.llm.queries import LABELLED_HOSTS
+    urls = pq.read_table("/root/testdata/sf0.1/pages.parquet", columns=["url"])["url"].to_pylist()
+    parts = {p for u in urls for p in (u or "").split("/")[2:3] for p in p.split(".")}
+    assert not parts & set(LABELLED_HOSTS[0])
+    clean = ["gardening-club", "local-history", "weather-maps", "tionsh", "therha", "ththth", "museum-letters"]
+    df = spark.createDataFrame([(i, f"https://www.{h}.example.net/fr/3") for i, h in enumerate(clean)], "page_id long, url string")
+    got = url_filter.judge(df, url_filter.train(labelled_urls(spark)), RULES).collect()
+    assert {r.page_id: r.verdict for r in got} == dict.fromkeys(range(len(clean)), "allow")
+
+
 # --- mixing
 
 def brute_schedule(weights, slots):
