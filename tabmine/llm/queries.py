@@ -10,9 +10,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from tabmine.llm import (bagminhash, chat_format, decontam, exact_stream, gru_lm, line_dedup, pfair_mix,
-                         pii_bootstrap, quality, url_filter)
-from tabmine.llm.common import text_of
+from tabmine.llm import (anchors, bagminhash, chat_format, decontam, exact_stream, gru_lm, line_dedup, merkle, permuterm,
+                         pfair_mix, pii_bootstrap, quality, url_filter)
+from tabmine.llm.common import ascii_lower, text_of
 
 QUERIES: dict = {}
 ORACLE: dict[str, str] = {}
@@ -186,3 +186,118 @@ def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", *n, hex_sha(pii_bootstrap.written(F.col("base"))).alias("base_sha256"),
                       pii_bootstrap.written(F.col("spans")).alias("spans"),
                       (F.size("spans") - F.size("base")).cast("long").alias("n_discovered"))
+
+
+#: crc32 in DuckDB: the table of 256 remainders, and the sum over a list of bytes.
+CRC_TABLE = """tab AS (SELECT list(v ORDER BY i) AS t FROM (
+    SELECT i, list_reduce([i, 0, 0, 0, 0, 0, 0, 0, 0], lambda a, b: xor(a >> 1, (a & 1) * 3988292384)) AS v FROM range(256) r(i)))"""
+CRC = """xor(list_reduce(list_concat([4294967295], {}), lambda a, b: xor(t[(xor(a, b) & 255) + 1], a >> 8)), 4294967295)"""
+#: Letters and what separates them; fixed values of the query.
+LETTERS = r"[A-Za-z\u00C0-\u00FF]+"
+NOT_LETTERS = r"[^A-Za-z\u00C0-\u00FF]+"
+
+
+def spoilt_words(docs: DataFrame, least: int = 6, often: int = 5, every: int = 199) -> DataFrame:
+    """(word, n) of the lower-cased letter runs of whole texts; of one run in ``every`` a code point is lost.
+
+    Words of under ``least`` code points or ``often`` occurrences are left out. Null texts have no
+    runs, a null id is the empty one. Counts are combined before the shuffle.
+    """
+    runs = docs.select(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).alias("id"),
+                       F.explode(F.split("text", NOT_LETTERS)).alias("run"))
+    runs = runs.filter(F.char_length("run") >= least).select("id", ascii_lower(F.col("run")).alias("run"))
+    h = F.crc32(F.concat_ws(":", "id", "run"))
+    at = (h % F.char_length("run")).cast("int")
+    word = F.when(h % every == 0, F.concat(F.substring("run", F.lit(1), at), F.substring("run", at + 2, F.char_length("run")))).otherwise(F.col("run"))
+    words = runs.select(word.alias("word")).filter(F.char_length("word") >= least)
+    return words.groupBy("word").agg(F.count("*").alias("n")).filter(F.col("n") >= often)
+
+
+@query(rf"""
+WITH RECURSIVE {CRC_TABLE},
+runs AS (SELECT coalesce(CAST(doc_id AS VARCHAR), '') || ':' AS id, {LOWER.format("run")} AS run, count(*) AS c
+         FROM (SELECT doc_id, unnest(regexp_extract_all(coalesce(text, ''), '[A-Za-zÀ-ÿ]+')) AS run FROM documents)
+         WHERE length(run) >= 6 GROUP BY ALL),
+codes AS (SELECT run, c, {CRC.format("list_transform(range(0, length(x) // 2), lambda i: CAST('0x' || substr(x, 2 * i + 1, 2) AS BIGINT))")} AS h
+          FROM (SELECT run, c, hex(encode(id || run)) AS x FROM runs), tab),
+words AS (SELECT word, CAST(sum(c) AS BIGINT) AS n FROM (
+            SELECT CASE WHEN h % 199 = 0 THEN substr(run, 1, CAST(h % length(run) AS INT)) || substr(run, CAST(h % length(run) AS INT) + 2)
+                   ELSE run END AS word, c FROM codes) WHERE length(word) >= 6 GROUP BY word HAVING sum(c) >= 5),
+less AS (SELECT word, n, i, substr(word, 1, i) || substr(word, i + 2) AS k FROM (
+            SELECT word, n, CAST(unnest(range(length(word))) AS INT) AS i FROM words)),
+pairs AS (SELECT a.word AS word, a.n AS n, b.word AS other, b.n AS m FROM less a JOIN less b ON a.i = b.i AND a.k = b.k AND a.word <> b.word
+          UNION SELECT l.word, l.n, w.word, w.n FROM less l JOIN words w ON w.word = l.k
+          UNION SELECT w.word, w.n, l.word, l.n FROM less l JOIN words w ON w.word = l.k),
+near AS (SELECT word, count(*) AS n_near, first(other ORDER BY m DESC, other) AS other, max(m) AS m FROM pairs GROUP BY word),
+forms AS (SELECT w.word, w.n, coalesce(n_near, 0) AS n_near, CASE WHEN m >= 5 * w.n THEN other END AS form,
+                 CASE WHEN m >= 5 * w.n THEN m END AS form_n FROM words w LEFT JOIN near USING (word)),
+walk AS (SELECT word, word AS seen, 0 AS k FROM forms
+         UNION ALL SELECT walk.word, form, k + 1 FROM walk JOIN forms ON walk.seen = forms.word WHERE form IS NOT NULL)
+SELECT word, form, root, n, CAST(n_near AS BIGINT) AS n_near, form_n
+FROM forms JOIN (SELECT word, arg_max(seen, k) AS root FROM walk GROUP BY word) USING (word)""")
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return permuterm.group_variants(spoilt_words(table(spark, sf_dir, "documents")))
+
+
+def _field(c: str) -> str:
+    return f"coalesce(octet_length(encode(CAST({c} AS VARCHAR))) || ':' || CAST({c} AS VARCHAR), '-')"
+
+
+@query(rf"""
+WITH RECURSIVE {CRC_TABLE},
+f AS (SELECT row_number() OVER () AS r, doc_id, coalesce('=' || source, '-') AS tree, text,
+             {" || ".join(map(_field, ("doc_id", "source", "lang", "n_chars")))} AS head,
+             {CRC.format("list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda x: CAST(ascii(x) AS BIGINT))")} % 2 = 0 AS odd
+      FROM documents, tab),
+l AS (SELECT *, row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS FIRST, leaf) - 1 AS i FROM (
+        SELECT r, doc_id, tree, sha256(head || {_field("text")}) AS leaf,
+               sha256(head || {_field("CASE WHEN odd THEN replace(text, chr(10), '') ELSE text END")}) AS sent FROM f)),
+lv AS (SELECT tree, 0 AS h, i, leaf AS d FROM l
+       UNION ALL SELECT tree, h + 1, i // 3, sha256(string_agg(d, '' ORDER BY i))
+       FROM (SELECT *, max(i) OVER (PARTITION BY tree) AS m FROM lv) WHERE m > 0 GROUP BY tree, h, i // 3),
+sub AS (SELECT tree, arg_max(d, h) AS subroot, max(h) AS top, row_number() OVER (ORDER BY tree) - 1 AS place FROM lv GROUP BY tree),
+tv AS (SELECT 0 AS h, place AS i, subroot AS d FROM sub
+       UNION ALL SELECT h + 1, i // 3, sha256(string_agg(d, '' ORDER BY i))
+       FROM (SELECT *, max(i) OVER () AS m FROM tv) WHERE m > 0 GROUP BY h, i // 3),
+runs AS (SELECT tree, h, i // 3 AS run, list(d ORDER BY i) AS ds FROM lv GROUP BY ALL
+         UNION ALL SELECT NULL, h, i // 3, list(d ORDER BY i) FROM tv GROUP BY ALL),
+digits AS (SELECT r, tree, h, h AS k, i // CAST(pow(3, h) AS BIGINT) AS i
+           FROM (SELECT r, tree, i, unnest(range(top)) AS h FROM l JOIN sub USING (tree))
+           UNION ALL SELECT r, NULL, h, top + h, place // CAST(pow(3, h) AS BIGINT)
+           FROM (SELECT r, top, place, unnest(range((SELECT max(h) FROM tv))) AS h FROM l JOIN sub USING (tree))),
+steps AS (SELECT r, k, array_to_string(ds[1:i % 3], '') AS a, array_to_string(ds[i % 3 + 2:3], '') AS b
+          FROM digits JOIN runs ON digits.tree IS NOT DISTINCT FROM runs.tree AND digits.h = runs.h AND digits.i // 3 = runs.run),
+fold AS (SELECT r, CAST(0 AS BIGINT) AS k, sent AS d FROM l
+         UNION ALL SELECT r, fold.k + 1, sha256(a || d || b) FROM fold JOIN steps USING (r, k)),
+proof AS (SELECT r, string_agg(a || b, '' ORDER BY k) AS p FROM steps GROUP BY r)
+SELECT doc_id, leaf, subroot, root, sha256(coalesce(p, '')) AS proof_sha256, folded_root, folded_root = root AS verified
+FROM l JOIN sub USING (tree) JOIN (SELECT r, arg_max(d, k) AS folded_root FROM fold GROUP BY r) USING (r)
+LEFT JOIN proof USING (r), (SELECT arg_max(d, h) AS root FROM tv)""")
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    head = [F.col(c) for c in ("doc_id", "source", "lang", "n_chars")]
+    odd = F.crc32(F.col("doc_id").cast("string")) % 2 == 0
+    sent = F.when(odd, merkle.leaf_of(*head, F.replace(F.col("text"), F.lit("\n"), F.lit(""))))  # null: as it was
+    made = merkle.manifest(docs, F.col("source"), F.col("doc_id"), merkle.leaf_of(*head, F.col("text")),
+                           {"doc_id": F.col("doc_id"), "sent": sent})
+    out = made.proofs().select("ask.doc_id", "leaf", "subroot", "root", "path", F.coalesce("ask.sent", "leaf").alias("sent"))
+    passed = F.array_join(F.flatten(F.col("path.others")), "")
+    out = out.withColumn("folded_root", merkle.fold(F.col("sent"), F.col("path")))
+    return out.select("doc_id", "leaf", "subroot", "root", merkle.digest(passed).alias("proof_sha256"), "folded_root",
+                      (F.col("folded_root") == F.col("root")).alias("verified"))
+
+
+@query(r"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+win AS (SELECT r, doc_id, s, md5_number(array_to_string(w[s:s + 49], ' ')) AS k
+        FROM (SELECT *, unnest(range(1, len(w) - 48)) AS s FROM d WHERE len(w) >= 50)),
+low AS (SELECT k, min(doc_id) AS m FROM win GROUP BY k),
+gone AS (SELECT DISTINCT r, unnest(range(s, s + 50)) AS p FROM win JOIN low USING (k) WHERE m < doc_id),
+kept AS (SELECT r, sha256(string_agg(x, ' ' ORDER BY p)) AS kept_sha256, count(*) AS n
+         FROM (SELECT r, unnest(w) AS x, unnest(range(1, len(w) + 1)) AS p FROM d) ANTI JOIN gone USING (r, p) GROUP BY r)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(len(w) - coalesce(n, 0) AS BIGINT) AS n_removed,
+       coalesce(kept_sha256, sha256('')) AS kept_sha256
+FROM d LEFT JOIN kept USING (r)""")
+def op13_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = anchors.drop_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return out.select("doc_id", "n_words", "n_removed", hex_sha(F.col("kept")).alias("kept_sha256"))
