@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tabmine.llm.arrow_text import STEP, mixed, nth, raw_texts
-from tabmine.llm.common import BROADCAST_BYTES, digest128, stage, text_of
+from tabmine.llm.common import BROADCAST_BYTES, stage, text_of
 
 #: A perfect difference cover: 6 places give all 31 differences.
 COVER, PERIOD = (0, 1, 3, 8, 12, 18), 31
@@ -129,23 +129,47 @@ def anchors(docs: DataFrame, window: int, cover: tuple[int, ...], period: int) -
     return _map(docs, hashed, "places array<bigint>").select("id", "t", "places")
 
 
-def _runs(df: DataFrame, fn, width: int, name: str) -> DataFrame:
-    """``df`` (id, t, at) with at as the runs that [fn(at), + width) cover: from, to."""
+def _runs(df: DataFrame, fn, width: int, columns: tuple[str, ...], name: str) -> DataFrame:
+    """``df`` with each of ``columns`` (arrays) as the runs that [fn(column), + width) cover; staged."""
     def run(batch):
-        both = [joined(fn(np.array(x, np.int64)), width) for x in batch.column("at").to_pylist()]
-        return [pa.array([b[0] for b in both], pa.list_(pa.int64())), pa.array([b[1] for b in both], pa.list_(pa.int64()))]
-    return stage(_map(df, run, "from array<bigint>, to array<bigint>").drop("at"), name)
+        out = []
+        for c in columns:
+            both = [joined(fn(np.array(x, np.int64)), width) for x in batch.column(c).to_pylist()]
+            out.append(pa.array([[{"from": a, "to": z} for a, z in zip(*x)] for x in both],
+                                pa.list_(pa.struct([("from", pa.int64()), ("to", pa.int64())]))))
+        return out
+    made = ", ".join(f"__{c} array<struct<from: bigint, to: bigint>>" for c in columns)
+    return stage(_map(df, run, made).drop(*columns).withColumnsRenamed({f"__{c}": c for c in columns}), name)
 
 
-def _fitting(df: DataFrame, limit: int = BROADCAST_BYTES) -> DataFrame:
+def _fitting(df: DataFrame, column: str, limit: int) -> DataFrame:
     """A staged table of runs with a broadcast hint if it fits in ``limit`` bytes, else as it is."""
-    size = df.agg(F.sum(F.lit(96) + F.size("from") * 16)).head()[0] or 0
+    size = df.agg(F.sum(F.lit(96) + F.size(column) * 24)).head()[0] or 0
     return F.broadcast(df) if size <= limit else df
 
 
+def _windows(docs: DataFrame, marks: DataFrame, column: str, window: int, limit: int) -> DataFrame:
+    """(id, row, s, h, g): the windows that begin in a text's runs, with 128 bits of their words."""
+    def cut(batch):
+        keys, ends = [[np.zeros(0, np.int64), np.zeros(0, np.uint64), np.zeros(0, np.uint64)]], [0]
+        for text, runs in zip(raw_texts(batch.column("x")), batch.column("runs").to_pylist()):
+            h = word_hashes(text)
+            last = len(h) - window + 1
+            s = np.concatenate([np.arange(r["from"], min(r["to"], last)) for r in runs]).astype(np.int64)
+            keys.append([s, window_hashes(h, s, window), window_hashes(h, s, window, 1)])
+            ends.append(ends[-1] + len(s))
+        s, h, g = (np.concatenate(x) for x in zip(*keys))
+        items = pa.StructArray.from_arrays([pa.array(s.astype(np.int32)), pa.array(h.view(np.int64)), pa.array(g.view(np.int64))],
+                                           names=["s", "h", "g"])
+        return [pa.ListArray.from_arrays(np.array(ends, np.int32), items)]
+    runs = marks.filter(F.size(column) > 0).select("id", "t", "row", F.col(column).alias("runs"))
+    cutting = docs.join(_fitting(runs, "runs", limit), ["id", "t"])
+    return _map(cutting, cut, "w array<struct<s: int, h: bigint, g: bigint>>").select("id", "row", F.inline("w"))
+
+
 def repeated_words(docs: DataFrame, window: int = 50, cover: tuple[int, ...] = COVER, period: int = PERIOD,
                    broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
-    """(id, t, from, to): the runs of words of each text that windows of smaller documents cover.
+    """(id, t, cuts): the runs (from, to) of words of each text that windows of smaller documents cover.
 
     ``docs`` has id (bigint), x (text) and t (digest of x). Staged; texts without such words have no row.
     """
@@ -154,36 +178,25 @@ def repeated_words(docs: DataFrame, window: int = 50, cover: tuple[int, ...] = C
     # 1: anchors that several documents have. Counted map-side first; the extremes of the ids suffice.
     found = anchors(docs, window, cover, period)
     shared = (found.select("id", F.explode("places").alias("h")).groupBy("h")
-              .agg(F.min("id").alias("lo"), F.max("id").alias("hi")).filter("lo < hi").select("h"))
+              .agg(F.min("id").alias("lo"), F.max("id").alias("hi")).filter("lo < hi").select("h", "lo"))
     shared = stage(shared, "anchors-shared")
-    known = F.broadcast(shared) if shared.count() * 32 <= broadcast_bytes else shared
-    # 2: where each text has them, and so where windows may repeat (a set: repeated rows add nothing)
-    at = found.select("id", "t", F.posexplode("places").alias("i", "h")).join(known, "h", "left_semi")
-    at = at.groupBy("id", "t").agg(F.collect_set("i").alias("at"))
+    # 2: where each text has them, and where a smaller document has them too (sets: repeated rows add nothing).
+    # Frequent anchors are split on the left side of this join, the right has each once.
+    at = found.select("id", "t", F.posexplode("places").alias("i", "h")).join(shared, "h")
+    at = at.groupBy("id", "t").agg(F.collect_set("i").alias("all"), F.collect_set(F.when(F.col("lo") < F.col("id"), F.col("i"))).alias("mine"))
     places = np.array(sorted(cover))
-    marks = _runs(at, lambda i: np.concatenate([np.maximum(p - period + 1, 0) for p in [i // len(places) * period + places[i % len(places)]]]),
-                  period, "anchors-marks")
+    marks = _runs(at, lambda i: np.maximum(i // len(places) * period + places[i % len(places)] - period + 1, 0),
+                  period, ("all", "mine"), "anchors-marks")
     marks = stage(marks.withColumn("row", F.monotonically_increasing_id()), "anchors-rows")
-
-    # 3: every window that holds one of them, keyed by its words
-    def windows(batch):
-        keys, ends = [], [0]
-        for text, a, b in zip(raw_texts(batch.column("x")), batch.column("from").to_pylist(), batch.column("to").to_pylist()):
-            h = word_hashes(text)
-            last = len(h) - window + 1
-            s = np.concatenate([np.arange(x, min(y, last)) for x, y in zip(a, b)]).astype(np.int64)
-            keys.append((s, window_hashes(h, s, window), window_hashes(h, s, window, 1)))
-            ends.append(ends[-1] + len(s))
-        s, h, g = (np.concatenate(x) if keys else np.zeros(0, np.int64) for x in zip(*keys)) if keys else [np.zeros(0, np.int64)] * 3
-        items = pa.StructArray.from_arrays([pa.array(s.astype(np.int32)), pa.array(h.view(np.int64)), pa.array(g.view(np.int64))], names=["s", "h", "g"])
-        return [pa.ListArray.from_arrays(np.array(ends, np.int32), items)]
-    wins = docs.join(_fitting(marks, broadcast_bytes), ["id", "t"])
-    wins = _map(wins, windows, "w array<struct<s: int, h: bigint, g: bigint>>").select("id", "row", F.inline("w"))
-    first = wins.groupBy("h", "g").agg(F.min("id").alias("lo"), F.max("id").alias("hi")).filter("lo < hi").select("h", "g", "lo")
-    # the left side of this join is split where a window is frequent; the right has each window once
-    gone = wins.join(first, ["h", "g"]).filter("lo < id").groupBy("row").agg(F.collect_set("s").alias("at"))
+    # 3: extend them to the windows that hold them. All count for who is first; those that
+    # hold an anchor of a smaller document can go.
+    first = (_windows(docs, marks, "all", window, broadcast_bytes).groupBy("h", "g")
+             .agg(F.min("id").alias("lo"), F.max("id").alias("hi")).filter("lo < hi").select("h", "g", "lo"))
+    first = stage(first, "anchors-first")
+    gone = (_windows(docs, marks, "mine", window, broadcast_bytes).join(first, ["h", "g"]).filter("lo < id")
+            .groupBy("row").agg(F.collect_set("s").alias("cuts")))
     gone = stage(gone, "anchors-gone").join(marks.select("row", "id", "t"), "row").drop("row")
-    return _runs(gone, lambda s: s, window, "anchors-runs")
+    return _runs(gone, lambda s: s, window, ("cuts",), "anchors-cuts")
 
 
 def drop_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = 50,
@@ -208,22 +221,20 @@ def drop_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     rows = docs.withColumnsRenamed(own)
     ident = F.coalesce(F.col(own[id_col]).cast("bigint"), F.lit((1 << 63) - 1)).alias("id")
     body = text_of(own[text_col])
-    keyed = rows.select(ident, body.alias("x"), digest128(body).alias("t"))
+    keyed = rows.select(ident, body.alias("x"), F.xxhash64(body).alias("t"))  # tells texts of one id apart
     cuts = repeated_words(keyed, window, cover, period, broadcast_bytes)
-    rows = rows.select("*", ident, digest128(body).alias("t"))
-    rows = rows.join(_fitting(cuts, broadcast_bytes), ["id", "t"], "left")
+    rows = rows.select("*", ident, F.xxhash64(body).alias("t"))
+    rows = rows.join(_fitting(cuts, "cuts", broadcast_bytes), ["id", "t"], "left")
 
     def keep(batch):
         n, gone, kept = [], [], []
-        for text, a, b in zip(raw_texts(batch.column(own[text_col])), batch.column("from").to_pylist(), batch.column("to").to_pylist()):
-            words = text.split()
+        for text, cuts in zip(raw_texts(batch.column(own[text_col])), batch.column("cuts").to_pylist()):
+            words = left = text.split()
             n.append(len(words))
-            if a:
-                left = [w for x, y in zip([0, *b], [*a, len(words)]) for w in words[x:y]]
-            else:
-                left = words
+            if cuts:
+                left = [w for x, y in zip([0, *[c["to"] for c in cuts]], [*[c["from"] for c in cuts], len(words)]) for w in words[x:y]]
             gone.append(len(words) - len(left))
             kept.append(b" ".join(left))
         return [pa.array(n, pa.int64()), pa.array(gone, pa.int64()), pa.array(kept, pa.binary()).cast(pa.string())]
-    out = _map(rows, keep, "n_words bigint, n_removed bigint, kept string").drop("id", "t", "from", "to")
+    out = _map(rows, keep, "n_words bigint, n_removed bigint, kept string").drop("id", "t", "cuts")
     return out.withColumnsRenamed({v: k for k, v in own.items()})
