@@ -38,13 +38,13 @@ def _bucket_of(v: Column, cuts: list[float]) -> Column:
         F.coalesce(F.get(held, at + step - 1) < v.cast("double"), F.lit(False)), at + step).otherwise(at))
 
 
-def null_safe_join(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Inner join on ``keys`` where null equals null; the left side's keys stay."""
+def null_safe_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
+    """Join on ``keys`` where null equals null; the left side's keys stay."""
     r = right.withColumnsRenamed({k: f"_r_{k}" for k in keys})
     on = F.lit(True)
     for k in keys:
         on = on & left[k].eqNullSafe(r[f"_r_{k}"])
-    return left.join(r, on).drop(*[f"_r_{k}" for k in keys])
+    return left.join(r, on, how).drop(*[f"_r_{k}" for k in keys])
 
 
 def value_cuts(df: DataFrame, value: str, parts: int) -> list[float]:

@@ -1,11 +1,12 @@
 """Seeded sampling, stratified hold-out and k-fold assignment (K1, M1, M2).
 
 Row order is a hash of ``row_id`` and the seed (partition-independent and
-reproducible in SQL). The exact modes need each row's position inside its
-class in hash order; that position comes from ``prefix_by_value`` over the
-52-bit hash prefix (distributed), with a ``row_number`` only inside groups of
-equal hash (ties: practically single rows). ``mode="hash"`` skips positions
-altogether: a row is in the test part when its hash falls below the share.
+reproducible in SQL). The hold-out needs one place in that order for each class, the
+last test row: ``class_cuts`` finds it from narrow (class, hash, id) rows by
+refining a histogram, and the rows themselves are only compared with it, so wide
+rows are never shuffled. Folds need each row's position inside its class, which
+comes from ``prefix_by_value`` over the 52-bit hash prefix (distributed), with a
+``row_number`` only inside groups of equal hash (ties: practically single rows).
 """
 
 from __future__ import annotations
@@ -15,6 +16,7 @@ from pyspark.sql import functions as F
 
 from tabmine.functions.hashing import md5_key
 from tabmine.operators.ranks import null_safe_join, prefix_by_value
+from tabmine.session import materialize
 
 
 def order_key(id_col: str, seed: int):
@@ -33,16 +35,55 @@ def class_positions(df: DataFrame, label: str, id_col: str = "row_id", seed: int
     return j.withColumn("_pos", F.col("_c_before") + tie).drop("_c_before")
 
 
-def holdout_split(df: DataFrame, label: str, test_frac: float = 0.2, seed: int = 42,
-                  id_col: str = "row_id", mode: str = "exact") -> DataFrame:
-    """M1: df + ``split`` ('train'/'test'); per class, the first
-    ceil(test_frac * n_class) rows in hash order are test (exact mode)."""
-    if mode == "hash":
-        u = F.conv(F.substring(md5_key(F.col(id_col), F.lit(seed)), 1, 8), 16, 10).cast("double") / 4294967296.0
-        return df.withColumn("split", F.when(u < F.lit(test_frac), "test").otherwise("train"))
-    p = class_positions(df, label, id_col, seed)
-    test = F.col("_pos") <= F.ceil(F.lit(test_frac) * F.col("_ncls"))
-    return p.withColumn("split", F.when(test, "test").otherwise("train")).drop("_h", "_pos", "_ncls")
+HASH_BITS, STEP_BITS = 52, 13
+#: So many rows left in all classes' bins are sorted as they are.
+FEW = 1 << 16
+
+
+def class_cuts(keys: DataFrame, label: str, share: float, id_col: str = "row_id") -> DataFrame:
+    """(label, _cut_h, _cut_id): the ceil(share * n)-th smallest (hash, id) of each class of ``keys`` (label, _h, id).
+
+    Each pass counts the rows of the bin that holds the place sought, in 2 ** 13 finer
+    bins (one row a class and bin is shuffled, whatever the classes' sizes), and goes on with
+    the bin that the running count says. Hashes are even, so a pass leaves about one row in
+    8 192; when few are left, or the hash is used up, they are sorted by (hash, id). Only a hash
+    that a great many rows share leaves more, and those lie in one group of equal hash.
+    """
+    sizes = keys.groupBy(label).agg(F.count(F.lit(1)).alias("_n"))
+    want = materialize(sizes.select(label, F.ceil(F.lit(share) * F.col("_n")).cast("bigint").alias("_want"),
+                                    F.lit(0).cast("bigint").alias("_bin")).where("_want > 0"), "split-want")
+    left, shift = keys, HASH_BITS
+    while shift:
+        shift -= STEP_BITS
+        left = null_safe_join(left, want, [label]) if shift + STEP_BITS == HASH_BITS else null_safe_join(
+            left.drop("_want", "_bin"), want, [label]).where(F.shiftright("_h", shift + STEP_BITS) == F.col("_bin"))
+        bins = left.groupBy(label, "_want", F.shiftright("_h", shift).alias("_b")).agg(F.count(F.lit(1)).alias("_c"))
+        upto = F.sum("_c").over(Window.partitionBy(label, "_want").orderBy("_b"))
+        hit = bins.withColumn("_upto", upto).where("_upto >= _want AND _upto - _c < _want")
+        hit = materialize(hit, "split-bins")
+        want = hit.select(label, (F.col("_want") - F.col("_upto") + F.col("_c")).alias("_want"), F.col("_b").alias("_bin"))
+        if (hit.agg(F.sum("_c")).first()[0] or 0) <= FEW:
+            break
+    left = null_safe_join(left.drop("_want", "_bin"), want, [label]).where(F.shiftright("_h", shift) == F.col("_bin"))
+    place = F.row_number().over(Window.partitionBy(label).orderBy("_h", id_col))
+    return left.withColumn("_at", place).where("_at = _want").select(
+        label, F.col("_h").alias("_cut_h"), F.col(id_col).alias("_cut_id"))
+
+
+def holdout_split(df: DataFrame, label: str, test_frac: float = 0.2, seed: int = 42, id_col: str = "row_id") -> DataFrame:
+    """M1: df + ``split`` ('train'/'test'): per class, the first ceil(test_frac * n_class) rows in hash order are test.
+
+    Null is a class. Ids are unique; rows that share one stay together, on the test side if the cut
+    falls among them. Only (class, hash, id) are shuffled, in a few passes; the rows are
+    compared with their class's cut in place (a table of one row a class, broadcast by
+    Spark's own size check). Input columns named like a helper (``_h``, ``_cut_h``, ``_cut_id``) are not allowed.
+    """
+    keys = materialize(df.select(label, order_key(id_col, seed).alias("_h"), id_col), "split-keys")
+    cuts = materialize(class_cuts(keys, label, test_frac, id_col), "split-cuts")
+    h = order_key(id_col, seed)
+    test = (h < F.col("_cut_h")) | ((h == F.col("_cut_h")) & (F.col(id_col) <= F.col("_cut_id")))
+    return null_safe_join(df, cuts, [label], "left").withColumn(
+        "split", F.when(test, "test").otherwise("train")).drop("_cut_h", "_cut_id")
 
 
 def kfold_assign(df: DataFrame, label: str, k: int = 5, seed: int = 42, id_col: str = "row_id") -> DataFrame:

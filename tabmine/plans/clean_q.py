@@ -14,6 +14,7 @@ from tabmine.operators.ranks import exact_median, quantile_values
 from tabmine.plans import sql
 from tabmine.plans.registry import query
 from tabmine.session import ensure_checkpoint_dir
+from tabmine.sources.csv_records import read_csv
 from tabmine.sources.io import read_doc, read_table, to_doc, write_doc, write_table
 from tabmine.sources.views import docs_review, orders_review
 from tabmine.spec import ORDERS
@@ -248,3 +249,16 @@ def roundtrip_io(spark, sf_dir):
                     F.sum("desc_words").cast("bigint").alias("sum_words"))
     # the document must agree with the table it describes
     return rows.join(doc.select(F.col("value").cast("bigint").alias("rows")), "rows", "left_semi")
+
+
+@query("csv_roundtrip", """
+SELECT doc_id, lang, source, n_chars, sha256(nullif(text, '')) AS text_sha256, length(nullif(text, '')) AS text_chars
+FROM documents""")
+def csv_roundtrip(spark, sf_dir):
+    """All documents written as quoted CSV and read back by blocks; empty texts come back as null."""
+    base = ensure_checkpoint_dir(spark).rstrip("/") + f"/csv-{uuid.uuid4().hex}"
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text", "lang", "source", "n_chars")
+    back = read_csv(spark, write_table(docs, base, "csv"))
+    return back.select(F.col("doc_id").cast("bigint").alias("doc_id"), "lang", "source",
+                       F.col("n_chars").cast("bigint").alias("n_chars"), F.sha2("text", 256).alias("text_sha256"),
+                       F.char_length("text").cast("bigint").alias("text_chars"))

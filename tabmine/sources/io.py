@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tabmine.functions.text import nan_to_null, null_tokens
+from tabmine.sources.csv_records import read_csv
 
 # Raw review table: the CSV's unnamed first column is the row index.
 REVIEW_SCHEMA = T.StructType([
@@ -47,24 +48,16 @@ def normalize_missing(df: DataFrame) -> DataFrame:
 def read_reviews_csv(spark: SparkSession, path: str, schema: T.StructType = REVIEW_SCHEMA) -> DataFrame:
     """Header CSV with quoted multi-line text, typed by column NAME.
 
-    The header line is read first (one line); the read schema follows the
-    file's column order with each type looked up by name in ``schema`` (the
+    Files are cut into records by many tasks each (``csv_records``), and every
+    file's header is checked. Types are looked up by name in ``schema`` (the
     unnamed index column becomes ``row_id``; unknown columns are strings).
     Then pandas-style null tokens become null and NaN becomes null.
     """
-    import csv
-
-    first = spark.read.text(path).first()
-    names = next(csv.reader([first[0] if first else ""]))
-    names = [n.strip() or "row_id" for n in names]
+    raw = read_csv(spark, path)
+    names = [n.strip() or "row_id" for n in raw.columns]
     by_name = {f.name: f for f in schema.fields}
-    # read every column as text: null tokens apply to numbers too ("nan", "NA")
-    raw = (spark.read.schema(T.StructType([T.StructField(n, T.StringType(), True) for n in names]))
-           .option("header", True).option("multiLine", True)
-           .option("escape", '"').option("quote", '"')
-           .option("enforceSchema", True)
-           .option("mode", "FAILFAST")
-           .csv(path))
+    # every column comes as text: null tokens apply to numbers too ("nan", "NA")
+    raw = raw.toDF(*names)
     keep = [f.name for f in schema.fields if f.name in names] + [n for n in names if n not in by_name]
     typed = raw.select(*[null_tokens(F.col(n)).cast(by_name[n].dataType if n in by_name else T.StringType()).alias(n)
                          for n in keep])
@@ -83,7 +76,9 @@ def write_table(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "ove
     if partition_by:
         w = w.partitionBy(*partition_by)
     if fmt == "csv":
-        w.option("header", True).csv(path)
+        # quotes are doubled and blanks kept, as other CSV readers expect
+        (w.option("header", True).option("escape", '"').option("ignoreLeadingWhiteSpace", False)
+         .option("ignoreTrailingWhiteSpace", False).csv(path))
     else:
         w.format(fmt).save(path)
     return path

@@ -60,3 +60,35 @@ def test_sample_takes_the_smallest_hashes_of_a_large_table(spark):
     assert got == want
     same = big.withColumn("row_id", F.lit(1))  # one hash: the cut can't work
     assert sample_n(same, 50, 7).count() == 50
+
+
+def test_holdout_cut_is_the_place_in_hash_order(spark, monkeypatch):
+    """Against a sort of each class, refined to the last bin, with null classes, and ids that share a hash."""
+    from tabmine.operators import split
+    rows = [(i, None if i % 5 == 0 else int(i % 3 == 0), "text" * 50) for i in range(700)] + [(9_999, 7, "alone")]
+    df = spark.createDataFrame(rows, "row_id long, y int, text string")
+
+    def want(key):
+        out = set()
+        for c in {r[1] for r in rows}:
+            own = sorted((key[i], i) for i, y, _ in rows if y == c)
+            out |= {i for _, i in own[:-(-len(own) // 5)]}
+        return out
+    keys = {r.row_id: r.h for r in df.select("row_id", order_key("row_id", 42).alias("h")).collect()}
+    for few, share_hash in ((1 << 16, False), (0, False), (0, True)):
+        monkeypatch.setattr(split, "FEW", few)
+        if share_hash:
+            monkeypatch.setattr(split, "order_key", lambda c, s: (F.col(c) % 4).cast("bigint"))
+            keys = {i: i % 4 for i in keys}
+        d = split.holdout_split(df, "y", 0.2, 42)
+        assert d.columns == [*df.columns, "split"]
+        assert {r.row_id for r in d.where("split = 'test'").collect()} == want(keys)
+    plan = d._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "hashpartitioning" not in plan  # the texts stay where they are
+    assert split.holdout_split(df.limit(0), "y").count() == 0
+
+
+def test_holdout_of_nothing_and_of_all(spark):
+    df = spark.createDataFrame([(i, i % 2) for i in range(20)], "row_id long, y int")
+    assert holdout_split(df, "y", 0.0).where("split = 'test'").count() == 0
+    assert holdout_split(df, "y", 1.0).where("split = 'train'").count() == 0
