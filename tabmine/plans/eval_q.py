@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from tabmine.operators.metrics import (average_precision, binary_metrics, calibration,
                                        calibration_edges, confusion, curve_points, leaderboard,
                                        metric_deltas, operating_points, roc_auc)
+from tabmine.operators.bucket_boot import bucket_ci, bucket_paired
 from tabmine.operators.resample import bootstrap_ci, bootstrap_paired
 from tabmine.operators.slices import boundary_error_share, error_by, error_by_band, error_when
 from tabmine.plans import sql
@@ -172,6 +173,58 @@ def bootstrap_paired_q(spark, sf_dir):
     return bootstrap_paired(scored(spark, sf_dir), "mixed", "price_only", B=BOOT_B, seed=42)
 
 
+def _bucket_sql(buckets: str, tail: str) -> str:
+    """The hashed Poisson draws of ``bucket_boot`` over ``buckets`` (model, p, base, pos, neg)."""
+    def draw(n, stream):
+        # the second half of the list is the second uniform, for counts without a table
+        u = [f"((x{s} * 48271 + 11) % 2147483647 + 0.5) / 2147483647" for s in (stream, stream + 2)]
+        z = f"(sqrt(-2 * ln({u[0]})) * cos(2 * pi() * {u[1]}))"
+        return (f"CASE WHEN {n} = 0 THEN 0 WHEN {n} <= 64 THEN len(list_filter(c{stream}.cdf, lambda t: t < {u[0]})) "
+                f"ELSE greatest(floor({n} + sqrt({n}) * {z} + ({z} * {z} - 1) / 6 + 0.5), 0) END")
+    first = ", ".join(f"(b * 48271 % 2147483647 + (rep * 4 + {s + 1}) * 69621) % 2147483647 AS a{s}" for s in range(4))
+    second = ", ".join(f"(a{s} * a{s} % 2147483647 + (b % 65536 + 1) * 40692) % 2147483647 AS a{s}" for s in range(4))
+    third = ", ".join(f"a{s} * a{s} % 2147483647 AS x{s}" for s in range(4))
+    return sql.scores().replace("WITH ", "WITH RECURSIVE ", 1) + f"""
+, {buckets},
+pois AS (SELECT CAST(m AS BIGINT) AS m, 0 AS k, exp(CAST(-m AS DOUBLE)) AS t, exp(CAST(-m AS DOUBLE)) AS c FROM range(1, 65) r(m)
+         UNION ALL SELECT m, k + 1, t * m / (k + 1), c + t * m / (k + 1) FROM pois WHERE k + 1 < CAST(floor(m + 12 * sqrt(m) + 20) AS INT)),
+cdfs AS (SELECT m, list(c ORDER BY k) AS cdf FROM pois GROUP BY m),
+h1 AS (SELECT model, p, pos, neg, b, rep, {first} FROM (SELECT *, base % 2147483647 AS b FROM buckets), range({BOOT_B}) r(rep)),
+h2 AS (SELECT model, p, pos, neg, rep, {second} FROM h1),
+h3 AS (SELECT model, p, pos, neg, rep, {third} FROM h2),
+w AS (SELECT model, p, rep, {draw("pos", 0)} AS pos, {draw("neg", 1)} AS neg
+      FROM h3 LEFT JOIN cdfs c0 ON c0.m = h3.pos LEFT JOIN cdfs c1 ON c1.m = h3.neg),
+g AS (SELECT model, p, rep, CAST(sum(pos) AS DOUBLE) AS pos, CAST(sum(neg) AS DOUBLE) AS neg FROM w GROUP BY ALL),
+cum AS (SELECT *, sum(neg) OVER (PARTITION BY model, rep ORDER BY p) - neg AS nb FROM g),
+reps AS (SELECT model, rep, sum(pos * (nb + 0.5 * neg)) / (sum(pos) * sum(neg)) AS auc,
+                2 * coalesce(sum(pos) FILTER (WHERE p >= 0.5), 0)
+                  / (coalesce(sum(pos) FILTER (WHERE p >= 0.5), 0) + coalesce(sum(neg) FILTER (WHERE p >= 0.5), 0) + sum(pos)) AS f1
+         FROM cum GROUP BY model, rep)
+{tail}"""
+
+
+@query("bootstrap_buckets", _bucket_sql("""
+buckets AS (SELECT model, p, min(row_id) AS base, CAST(sum(y) AS BIGINT) AS pos, CAST(sum(1 - y) AS BIGINT) AS neg
+            FROM scored GROUP BY model, p)""", """
+SELECT model, metric, round(quantile_cont(v, 0.025), 6) AS lo, round(quantile_cont(v, 0.975), 6) AS hi
+FROM (SELECT model, 'roc_auc' AS metric, auc AS v FROM reps UNION ALL SELECT model, 'f1', f1 FROM reps) GROUP BY model, metric"""))
+def bootstrap_buckets(spark, sf_dir):
+    """E15 on score buckets: the rows shuffled do not grow with the replicates."""
+    return bucket_ci(scored(spark, sf_dir), B=BOOT_B)
+
+
+@query("bootstrap_buckets_paired", _bucket_sql("""
+joint AS (SELECT a, b, min(row_id) AS base, CAST(sum(y) AS BIGINT) AS pos, CAST(sum(1 - y) AS BIGINT) AS neg FROM (
+            SELECT row_id, y, max(p) FILTER (WHERE model = 'mixed') AS a, max(p) FILTER (WHERE model = 'price_only') AS b
+            FROM scored GROUP BY row_id, y) GROUP BY a, b),
+buckets AS (SELECT 'mixed' AS model, a AS p, base, pos, neg FROM joint UNION ALL SELECT 'price_only', b, base, pos, neg FROM joint)""", """
+, d AS (SELECT rep, max(auc) FILTER (WHERE model = 'mixed') - max(auc) FILTER (WHERE model = 'price_only') AS d FROM reps GROUP BY rep)
+SELECT 'mixed' AS model_a, 'price_only' AS model_b, round(quantile_cont(d, 0.025), 6) AS lo, round(quantile_cont(d, 0.975), 6) AS hi FROM d"""))
+def bootstrap_buckets_paired(spark, sf_dir):
+    """E16 on joint score buckets."""
+    return bucket_paired(scored(spark, sf_dir), "mixed", "price_only", B=BOOT_B)
+
+
 BAND = sql.band_case("price", ORDERS.band_edges, ORDERS.band_labels)
 ERR = "CAST(y <> CAST(p >= 0.5 AS INTEGER) AS DOUBLE)"
 

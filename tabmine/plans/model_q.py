@@ -14,7 +14,8 @@ from tabmine.operators.explain import permutation_importance, top_text_terms
 from tabmine.operators.metrics import binary_metrics, leaderboard, roc_auc
 from tabmine.operators.models import Candidate, boosting, default_candidates, fit_candidate, load_fitted, logistic
 from tabmine.operators.split import holdout_split, sample_n
-from tabmine.operators.tune import cross_validate, cv_summary, grid_search, stacking_fit
+from tabmine.operators.tune import (best_params, cross_validate, cv_summary, grid_search, nested_folds, nested_stacking,
+                                     stacking_fit)
 from tabmine.plans.prep_q import SPLIT_SQL, split_clean
 from tabmine.plans.registry import query
 from tabmine.session import ensure_checkpoint_dir, materialize
@@ -90,20 +91,21 @@ def cv_text(spark, sf_dir):
     return cv_summary(scores, fit_s)
 
 
-def _boost_candidate(learning_rate, leaves, l2):
-    c = Candidate("boosting", "tree", boosting(learning_rate, leaves, 300, SEED))
-    # GBT has no L2 term: points differing only in l2 are the same fit
-    c.params = {"learning_rate": learning_rate, "leaves": leaves}
-    return c
+def _boost_candidate(learning_rate, leaves):
+    return Candidate("boosting", "tree", boosting(learning_rate, leaves, 300, SEED),
+                     params={"learning_rate": learning_rate, "leaves": leaves})
+
+
+#: The boosting has no L2 term, so the grid has no such axis.
+BOOST_GRID = [{"learning_rate": lr, "leaves": lv} for lr in (0.05, 0.1) for lv in (15, 31, 63)]
+TEXT_GRID = [{"C": c} for c in (0.25, 1.0, 4.0)]
 
 
 @query("grid_search_boosting")
 def grid_search_boosting(spark, sf_dir):
-    """3-fold grid over learning rate x leaves x L2, best by mean AUC."""
+    """3-fold grid over learning rate x leaves, best by mean AUC."""
     tr, _ = orders_split(spark, sf_dir)
-    grid = [{"learning_rate": lr, "leaves": lv, "l2": l2} for lr in (0.05, 0.1) for lv in (15, 31, 63)
-            for l2 in (0.0, 1.0)]
-    return grid_search("boosting", _boost_candidate, grid, tr, SPEC, 3, MIN_FREQ, SEED)
+    return grid_search("boosting", _boost_candidate, BOOST_GRID, tr, SPEC, 3, MIN_FREQ, SEED)
 
 
 def _text_candidate(C):
@@ -116,8 +118,7 @@ def _text_candidate(C):
 def grid_search_text(spark, sf_dir):
     """3-fold grid over C for LR + TF-IDF."""
     tr, _ = docs_split(spark, sf_dir)
-    return grid_search("lr_text", _text_candidate, [{"C": c} for c in (0.25, 1.0, 4.0)], tr, DOCS_SPEC, 3,
-                       DOCS_MIN_FREQ, SEED)
+    return grid_search("lr_text", _text_candidate, TEXT_GRID, tr, DOCS_SPEC, 3, DOCS_MIN_FREQ, SEED)
 
 
 @query("ablation")
@@ -144,6 +145,30 @@ def stacking(spark, sf_dir):
     return leaderboard(materialize(s, "stack-scores"))
 
 
+@query("cv_stacking")
+def cv_stacking(spark, sf_dir):
+    """M9 + M12: 5-fold CV of the tuned text model, a tree and their stack; the stack's own folds lie inside the others'."""
+    tr, _ = docs_split(spark, sf_dir)
+    tuned = best_params(grid_search("lr_text", _text_candidate, TEXT_GRID, tr, DOCS_SPEC, 3, DOCS_MIN_FREQ, SEED), TEXT_GRID)
+    bases = [_text_candidate(**tuned), _by_name("tree")[0]]
+    return cv_summary(nested_stacking(bases, tr, DOCS_SPEC, 5, 5, DOCS_MIN_FREQ, SEED))
+
+
+@query("nested_folds", SPLIT_SQL + """
+, pos AS (SELECT row_id, high_quality, row_number() OVER (PARTITION BY high_quality
+            ORDER BY substr(md5(concat_ws('-', row_id, 42)), 1, 13), row_id) - 1 AS q FROM train),
+outer_ AS (SELECT *, CAST(q % 5 AS INTEGER) AS fold FROM pos),
+o AS (SELECT unnest(range(5)) AS held)
+SELECT CAST(held AS INTEGER) AS held_out, fold, row_id,
+       CAST((row_number() OVER (PARTITION BY held, high_quality ORDER BY q) - 1) % 5 AS INTEGER) AS inner_fold
+FROM outer_, o WHERE fold <> held""")
+def nested_folds_q(spark, sf_dir):
+    """Which inner fold each training row is in while an outer fold is held out."""
+    tr, _ = orders_split(spark, sf_dir)
+    f = nested_folds(tr.select("row_id", "high_quality"), "high_quality", 5, 5, SEED)
+    return f.select("fold", "row_id", F.posexplode("inner").alias("held_out", "inner_fold")).where("fold <> held_out")
+
+
 @query("score_test")
 def score_test(spark, sf_dir):
     """M13 + E6: refit every tabular candidate on all training rows, score the
