@@ -26,17 +26,43 @@ def dup_count(df: DataFrame, keys: Sequence[str]) -> DataFrame:
                  F.count(F.lit(1)).cast("bigint").alias("distinct_keys"))
 
 
+def key_digest(keys: Sequence[str]):
+    """128 bits of the keys' values; null differs from every value, and lengths keep neighbours apart."""
+    said = [F.coalesce(F.concat(F.octet_length(F.col(k).cast("string")).cast("string"), F.lit(":"), F.col(k).cast("string")),
+                       F.lit("-")) for k in keys]
+    return F.unhex(F.md5(F.concat(*said)))
+
+
+def later_copies(df: DataFrame, keys: Sequence[str], order_col: str = "row_id") -> DataFrame:
+    """(_d, order_col) of the rows of a key that are not its first, ``_d`` being the key's digest; staged.
+
+    Digests alone are counted (a hash aggregate that combines map-side, so a key that a third
+    of the rows share is one row a task). Only rows of digests that occur again are looked at
+    whole: they are compared by the keys themselves, so that equal digests of different keys do no harm.
+    """
+    keys = list(keys)
+    d = key_digest(keys).alias("_d")
+    again = materialize(df.select(d).groupBy("_d").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select("_d"), "dedup-again")
+    some = materialize(df.select(d, order_col, *[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)])
+                       .join(again, "_d", "left_semi"), "dedup-rows")
+    same = [f"_k{i}" for i in range(len(keys))]
+    first = some.groupBy("_d", *same).agg(F.min(order_col).alias("_first"))
+    # keys are told apart by digest and first row: texts meet in the comparison only
+    on = (some["_d"] == first["_d"]) & (some[order_col] > F.col("_first"))
+    for k in same:
+        on = on & some[k].eqNullSafe(first[k])
+    return materialize(some.join(first, on, "left_semi").select("_d", order_col), "dedup-later")
+
+
 def dedup_first(df: DataFrame, keys: Sequence[str], order_col: str = "row_id") -> DataFrame:
     """Keep the first row (smallest ``order_col``) of every key.
 
-    ``min_by`` is a declarative aggregate: it combines map-side, so a key
-    holding a third of the table shrinks to one row per map task before the
-    shuffle. ``dropDuplicates`` would keep an arbitrary row instead.
+    ``order_col`` has no nulls and differs among the rows of a key. The later rows are named by
+    (digest, order) and taken out by an anti join, so whole rows are not shuffled where the
+    list of later copies fits Spark's broadcast size; ``dropDuplicates`` would keep an arbitrary row.
     """
-    keys = list(keys)
-    rest = [c for c in df.columns if c not in keys]
-    first = df.groupBy(*keys).agg(F.min_by(F.struct(*rest), F.col(order_col)).alias("_r"))
-    return first.select(*keys, "_r.*").select(*df.columns)
+    later = later_copies(df, keys, order_col)
+    return df.withColumn("_d", key_digest(list(keys))).join(later, ["_d", order_col], "left_anti").select(*df.columns)
 
 
 def strip_columns(df: DataFrame, cols: Sequence[str], unicode: bool = True) -> DataFrame:

@@ -2,7 +2,7 @@
 
 Both reduce to aggregates over the distinct-value rank table from
 ``ranks.value_ranks`` — no row-level sort on one task. Tail probabilities
-are closed forms on the final scalars (driver helper code).
+are columns of the result (``tails``).
 """
 
 from __future__ import annotations
@@ -14,40 +14,35 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tabmine.operators.ranks import value_ranks
+from tabmine.operators.tails import chi2_tail, t_tail
 
 
-# ---- scalar tail probabilities: the distributions that Spark ships ----
-
-def _distributions():
-    return SparkSession.active()._jvm.org.apache.commons.math3.distribution
+def _scalar(tail, *args: float) -> float:
+    row = SparkSession.active().range(1).select(tail(*[F.lit(float(a)) for a in args]).alias("p")).first()
+    return float("nan") if row["p"] is None else row["p"]
 
 
 def t_two_sided_p(t: float, dof: float) -> float:
     """Two-sided tail of Student's t; 0 for an infinite t, NaN without degrees of freedom."""
-    if t is None or math.isnan(t) or dof <= 0:
-        return float("nan")
-    if math.isinf(t):
-        return 0.0
-    return 2.0 * _distributions().TDistribution(float(dof)).cumulativeProbability(-abs(float(t)))
+    return float("nan") if t is None or math.isnan(t) else _scalar(t_tail, t, dof)
 
 
 def chi2_sf(x: float, k: float) -> float:
     """Upper tail of chi-square with k degrees of freedom."""
-    if x is None or math.isnan(x) or k <= 0:
-        return float("nan")
-    return 1.0 - _distributions().ChiSquaredDistribution(float(k)).cumulativeProbability(max(0.0, float(x)))
+    return float("nan") if x is None or math.isnan(x) else _scalar(chi2_tail, x, k)
 
 
 # ---- Spearman ----
 
 def spearman(df: DataFrame, x: str, y: str, parts: int | None = None) -> DataFrame:
     """Spearman rho on rows where both are present (average ranks for
-    ties). Columns: n, rho, t_stat; ``spearman_p`` gives the p-value.
+    ties). Columns: n, rho, t_stat, p (two-sided, t with n - 2 degrees of freedom).
 
     Rows collapse to distinct (x, y) pairs with a weight first, so a hot pair
     is one row; the pairs are joined to the two distinct-value rank tables and
     rho is the weighted correlation of the centred ranks (mean (n+1)/2). rho is
-    null if a column is constant, t_stat if rho is null or 1 or -1.
+    null if a column is constant, t_stat if rho is null or 1 or -1; p is 0 for the latter, and null
+    for a null rho or under 3 rows.
     """
     d = df.select(F.col(x).cast("double").alias("_x"), F.col(y).cast("double").alias("_y")).where(
         F.col("_x").isNotNull() & F.col("_y").isNotNull())
@@ -61,7 +56,8 @@ def spearman(df: DataFrame, x: str, y: str, parts: int | None = None) -> DataFra
               F.sum(F.col("w") * F.col("_ry") ** 2).alias("syy"))
     rho = F.try_divide(F.col("sxy"), F.sqrt(F.col("sxx") * F.col("syy")))
     return a.select("n", rho.alias("rho")).select(
-        "n", "rho", (F.col("rho") * F.sqrt(F.try_divide((F.col("n") - 2).cast("double"), 1 - F.col("rho") ** 2))).alias("t_stat"))
+        "n", "rho", (F.col("rho") * F.sqrt(F.try_divide((F.col("n") - 2).cast("double"), 1 - F.col("rho") ** 2))).alias("t_stat")
+    ).withColumn("p", F.when((F.abs("rho") >= 1) & (F.col("n") > 2), 0.0).otherwise(t_tail(F.col("t_stat"), F.col("n") - 2)))
 
 
 def spearman_p(row) -> float:
@@ -83,8 +79,8 @@ def kruskal(df: DataFrame, group: str, value: str, groups_subset: Sequence | Non
 
     Ranks are pooled over the rows of the kept groups only. Work: one
     aggregate to (group, value) counts, ranks of the distinct values, one
-    join on value, then per-group rank sums. Columns: k, n, h, dof; h is null
-    if all values are equal or no row is left.
+    join on value, then per-group rank sums. Columns: k, n, h, dof, p; h and p are null
+    if all values are equal or no row is left, p with one group too.
     """
     d = df.select(F.col(group).alias("_g"), F.col(value).alias("_v"))
     group, value = "_g", "_v"
@@ -106,7 +102,8 @@ def kruskal(df: DataFrame, group: str, value: str, groups_subset: Sequence | Non
     raw_h = F.try_divide(F.lit(12.0), n * (n + 1)) * F.col("s") - 3 * (n + 1)
     corr = 1 - F.try_divide(F.col("tie"), n ** 3 - n)
     return both.select(F.col("k").cast("bigint").alias("k"), n.cast("bigint").alias("n"),
-                       F.try_divide(raw_h, corr).alias("h"), (F.col("k") - 1).cast("bigint").alias("dof"))
+                       F.try_divide(raw_h, corr).alias("h"), (F.col("k") - 1).cast("bigint").alias("dof")
+                       ).withColumn("p", chi2_tail(F.col("h"), F.col("dof")))
 
 
 def _weighted_ranks(gv: DataFrame, value: str, w: str, parts: int | None) -> DataFrame:

@@ -8,11 +8,12 @@ from tabmine.operators.metrics import (average_precision, binary_metrics, calibr
                                        calibration_edges, confusion, curve_points, leaderboard,
                                        metric_deltas, operating_points, roc_auc)
 from tabmine.operators.bucket_boot import bucket_ci, bucket_paired
+from tabmine.operators.explain import importance, permutation_keys
 from tabmine.operators.resample import bootstrap_ci, bootstrap_paired
 from tabmine.operators.slices import boundary_error_share, error_by, error_by_band, error_when
 from tabmine.plans import sql
 from tabmine.plans.registry import query
-from tabmine.sources.views import scored
+from tabmine.sources.views import orders_review, scored
 from tabmine.spec import ORDERS
 
 COUNTS_SQL = """
@@ -225,6 +226,41 @@ def bootstrap_buckets_paired(spark, sf_dir):
     return bucket_paired(scored(spark, sf_dir), "mixed", "price_only", B=BOOT_B)
 
 
+PERM_FEATURES = ("price", "customer_id")
+
+
+def _perm_sql() -> str:
+    keys = " UNION ALL ".join(f"SELECT '{f}' AS feature, {r} AS rep, {permutation_keys(f, r, 42)} AS keys"
+                              for f in PERM_FEATURES for r in range(5))
+    once = """list_reduce(list_concat([{x}], keys), lambda s, k: (s % a) * a + ((s // a)
+      + (((s % a) * 48271 + k) % 2147483647 * (((s % a) * 48271 + k) % 2147483647) % 2147483647 * 69621 + 11) % 2147483647) % a)"""
+    score = "round(1.0 / (1.0 + exp(-(({c} % 13 - 6) / 2.5 + (coalesce({p}, 150000.0) / 70000 - 3) / 1.5))), 4)"
+    auc = """(SELECT feature, rep, sum(pos * (nb + 0.5 * neg)) / (sum(pos) * sum(neg)) AS auc FROM (
+       SELECT *, sum(neg) OVER (PARTITION BY feature, rep ORDER BY p) - neg AS nb FROM (
+         SELECT feature, rep, p, CAST(sum(y) AS DOUBLE) AS pos, CAST(sum(1 - y) AS DOUBLE) AS neg FROM {t} GROUP BY ALL)) GROUP BY ALL)"""
+    return sql.orders().replace("WITH ", "WITH RECURSIVE ", 1) + f"""
+, x AS (SELECT row_number() OVER (ORDER BY row_id) - 1 AS i, count(*) OVER () AS n, price, customer_id,
+               CAST(points >= 90 AS INTEGER) AS y FROM orders_review),
+keyed AS (SELECT x.*, greatest(2, CAST(ceil(sqrt(n)) AS BIGINT)) AS a, feature, rep, keys FROM x, ({keys})),
+walk AS (SELECT i, n, a, feature, rep, keys, {once.format(x="i")} AS spot FROM keyed
+         UNION ALL SELECT i, n, a, feature, rep, keys, {once.format(x="spot")} FROM walk WHERE spot >= n),
+moved AS (SELECT feature, rep, r.y, {score.format(
+    c="(CASE WHEN feature = 'customer_id' THEN d.customer_id ELSE r.customer_id END)",
+    p="(CASE WHEN feature = 'price' THEN d.price ELSE r.price END)")} AS p
+          FROM walk JOIN x r ON r.i = walk.i JOIN x d ON d.i = walk.spot WHERE walk.spot < walk.n),
+plain AS (SELECT '' AS feature, 0 AS rep, y, {score.format(c="customer_id", p="price")} AS p FROM x)
+SELECT m.feature, round(any_value(b.auc) - avg(m.auc), 6) AS delta_auc
+FROM {auc.format(t="moved")} m, {auc.format(t="plain")} b GROUP BY m.feature"""
+
+
+@query("perm_importance_fixed", _perm_sql())
+def perm_importance_fixed(spark, sf_dir):
+    """E13 on a fixed-weight score over all rows."""
+    rows = orders_review(spark, sf_dir).select("row_id", "price", "customer_id", (F.col("points") >= 90).cast("int").alias("y"))
+    z = (F.col("customer_id") % 13 - 6) / 2.5 + (F.coalesce("price", F.lit(150000.0)) / 70000 - 3) / 1.5
+    return importance(rows, lambda d: d.withColumn("p", F.round(1 / (1 + F.exp(-z)), 4)), PERM_FEATURES, 5, 42)
+
+
 BAND = sql.band_case("price", ORDERS.band_edges, ORDERS.band_labels)
 ERR = "CAST(y <> CAST(p >= 0.5 AS INTEGER) AS DOUBLE)"
 

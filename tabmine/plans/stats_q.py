@@ -86,6 +86,37 @@ def kruskal_taster(spark, sf_dir):
     return _round_kw(kruskal(r, "taster_name", "points"))
 
 
+#: A tail by Simpson's rule over the density, 20 000 strips.
+SIMPSON = "list_sum(list_transform(range(0, 20001), lambda i: (CASE WHEN i IN (0, 20000) THEN 1 WHEN i % 2 = 1 THEN 4 ELSE 2 END) * {f})) * {to} / 60000"
+T_SQL = SIMPSON.format(to="abs(t)", f="exp(lgamma((v + 1) / 2) - lgamma(v / 2) - ln(v * pi()) / 2 - (v + 1) / 2 * ln(1 + (i * t / 20000) ** 2 / v))")
+CHI_SQL = SIMPSON.format(to="h", f="(CASE WHEN i = 0 THEN 0 ELSE exp((dof / 2.0 - 1) * ln(i * h / 20000) - i * h / 40000 - dof / 2.0 * ln(2) - lgamma(dof / 2.0)) END)")
+
+
+@query("spearman_test", sql.orders() + f"""
+, d AS (SELECT CAST(price AS DOUBLE) AS x, CAST(row_id % 97 AS DOUBLE) AS y FROM orders_review
+        WHERE price IS NOT NULL),
+r AS (SELECT rank() OVER (ORDER BY x) + (count(*) OVER (PARTITION BY x) - 1) / 2.0 AS rx,
+             rank() OVER (ORDER BY y) + (count(*) OVER (PARTITION BY y) - 1) / 2.0 AS ry FROM d),
+c AS (SELECT CAST(count(*) AS DOUBLE) AS n, corr(rx, ry) AS rho FROM r),
+s AS (SELECT n, rho, n - 2 AS v, rho * sqrt((n - 2) / (1 - rho * rho)) AS t FROM c)
+SELECT CAST(n AS BIGINT) AS n, round(rho, 6) AS rho, round(t, 6) AS t_stat, round(1 - 2 * {T_SQL}, 6) AS p FROM s""")
+def spearman_test(spark, sf_dir):
+    """T1 with its p: price against a number unrelated to it."""
+    r = orders_review(spark, sf_dir).withColumn("other", F.col("row_id") % 97)
+    return spearman(r, "price", "other").select("n", *[F.round(c, 6).alias(c) for c in ("rho", "t_stat", "p")])
+
+
+@query("kruskal_test", sql.orders() + """
+, kd AS (SELECT taster_name AS g, CAST(row_id % 97 AS DOUBLE) AS v FROM orders_review WHERE taster_name IS NOT NULL)"""
+       + _kruskal_sql("kd").replace("SELECT CAST(k AS BIGINT) AS k", ", res AS (SELECT CAST(k AS BIGINT) AS k").replace(
+           "round((12.0", "((12.0").replace("(n * n * n - n)), 6) AS h", "(n * n * n - n))) AS h") + f""")
+SELECT k, n, round(h, 6) AS h, dof, round(1 - {CHI_SQL}, 6) AS p FROM res""")
+def kruskal_test(spark, sf_dir):
+    """T2 with its p: a number unrelated to the taster, by taster."""
+    r = orders_review(spark, sf_dir).select("taster_name", (F.col("row_id") % 97).cast("double").alias("other"))
+    return kruskal(r, "taster_name", "other").select("k", "n", F.round("h", 6).alias("h"), "dof", F.round("p", 6).alias("p"))
+
+
 HASH_ORDER = "substr(md5(concat_ws('-', row_id, 42)), 1, 13)"
 
 
