@@ -51,12 +51,12 @@ def contaminate(docs: DataFrame, bench: DataFrame, text_col: str = "text", item_
     """
     docs = docs.drop("n_words", "n_hit", "n_items", "items", "contaminated")
     owned = stage(benchmark_windows(bench, item_col, item_text_col, window), "bench-windows")
-    wins = owned.select("win", "len").distinct().withColumn("h", F.transform(F.split(F.lower("win"), " "), lambda x: F.xxhash64(x)))
+    wins = owned.select("win", "len").distinct().withColumn("h", F.transform(F.split("win", " "), lambda x: F.xxhash64(x)))
     wins = stage(wins.withColumn("k", F.least(F.lit(shingle), "len")), "bench-hashed")
     sizes = [r.k for r in wins.select("k").distinct().collect()]  # at most `shingle` values
     parts = [wins.filter(F.col("k") == k).select("win", "len", "k", F.posexplode(_shingles("h", k)).alias("off", "sh"))
              for k in sizes]
-    words = docs.select(digest128(text_of(text_col)).alias("t"), words_of(F.lower(text_of(text_col))).alias("w"))
+    words = docs.select(digest128(text_of(text_col)).alias("t"), words_of(ascii_lower(text_of(text_col))).alias("w"))
     found = None
     if parts:
         wsh = parts[0]
@@ -99,7 +99,7 @@ def contaminate(docs: DataFrame, bench: DataFrame, text_col: str = "text", item_
                  .groupBy("t").agg(F.array_sort(F.collect_set("item")).alias("items")))
         result = stage(hits.join(items, "t"), "window-result")
     base = docs.withColumn("__t", digest128(text_of(text_col)))
-    base = base.withColumn("n_words", F.size(words_of(F.lower(text_of(text_col)))).cast("long"))
+    base = base.withColumn("n_words", F.size(words_of(ascii_lower(text_of(text_col)))).cast("long"))
     if found is None:
         out = base.withColumn("n_hit", F.lit(0).cast("long")).withColumn("items", F.array().cast("array<string>"))
     else:

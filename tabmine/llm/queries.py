@@ -128,8 +128,9 @@ RULES = [url_filter.Rule(*r) for r in (
     ("allow", "com", "/fr/"), ("block", "com", "/de/"))]
 #: The labelled URLs the query's model is trained on, as host names (1: block).
 LABELLED_HOSTS = {
-    1: ["spam-farm", "free-bets", "casino-win", "cheap-pills", "ads-track", "win-casino", "bets-free", "pills-cheap",
-        "track-ads", "spam-bets", "casino-bets", "free-pills"],
+    1: ["online-poker", "lucky-jackpot", "discount-pharmacy", "hot-singles", "replica-watches", "miracle-diet", "payday-loans",
+        "coin-doubler", "banner-network", "pixel-tracker", "sportsbook-odds", "slot-machines", "grand-casino", "betting-tips",
+        "spammers-den", "gratis-giveaway", "viagra-store", "diet-pills-outlet", "popup-adserver", "bulk-mailer"],
     0: ["garden-notes", "city-library", "weather-report", "history-museum", "river-walks", "kitchen-table", "school-math",
         "the-northern-herald", "station-times", "mathematics", "nature-trust", "therapy-centre", "open-letters", "astronomy",
         "bird-watching", "the-other-path", "train-stations", "harbour-lights", "translation", "thread-and-needle"],

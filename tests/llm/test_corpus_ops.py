@@ -96,6 +96,21 @@ def test_decontam(spark):
     assert decontam.contaminate(docs_of(spark, []), bench).count() == 0
 
 
+def test_decontam_lower_cases_a_to_z_alone(spark):
+    """Words whose lower case depends on their neighbours, or changes length, count as they stand."""
+    rest = " ".join("abcdefghijkl")
+    items = [(1, f"ΟΔΟΣ {rest}"), (2, f"İstanbul {rest}"), (3, f"{rest} ẞ")]
+    texts = [(i, f"{w}{sep}{rest}{tail}") for i, (w, sep, tail) in enumerate(
+        [("ΟΔΟΣ", ".", ""), ("ΟΔΟΣ", "'", ""), ("ΟΔΟΣ", ":", " ẞ"), ("οδος", " ", ""), ("İSTANBUL", "-", ""), ("i̇stanbul", " ", " ß")])]
+    rng = random.Random(4)
+    letters = "aAzZ09éÉΣσςİıẞßǅ., '\n𝔸"
+    texts += [(100 + i, "".join(rng.choice(letters) for _ in range(rng.randrange(60)))) for i in range(60)]
+    items += [(100 + i, "".join(rng.choice(letters) for _ in range(rng.randrange(1, 9)))) for i in range(40)]
+    got = decontam.contaminate(docs_of(spark, texts), spark.createDataFrame(items, "item_id long, text string")).collect()
+    assert sorted((r.doc_id, r.n_words, r.n_hit, list(r["items"])) for r in got) == sorted((i, *brute_hits(t, items)) for i, t in texts)
+    assert [r.n_hit for r in sorted(got, key=lambda r: r.doc_id)[:3]] == [13, 13, 14]
+
+
 # --- near duplicates
 
 def bag(t):
@@ -195,11 +210,17 @@ def test_url_labels_are_not_the_judged_hosts(spark):
     from tabmine.llm.queries import LABELLED_HOSTS
     urls = pq.read_table("/root/testdata/sf0.1/pages.parquet", columns=["url"])["url"].to_pylist()
     parts = {p for u in urls for p in (u or "").split("/")[2:3] for p in p.split(".")}
-    assert not parts & set(LABELLED_HOSTS[0])
+    assert not parts & {h for hs in LABELLED_HOSTS.values() for h in hs}
     clean = ["gardening-club", "local-history", "weather-maps", "tionsh", "therha", "ththth", "museum-letters"]
     df = spark.createDataFrame([(i, f"https://www.{h}.example.net/fr/3") for i, h in enumerate(clean)], "page_id long, url string")
-    got = url_filter.judge(df, url_filter.train(labelled_urls(spark)), RULES).collect()
+    model = url_filter.train(labelled_urls(spark))
+    got = url_filter.judge(df, model, RULES).collect()
     assert {r.page_id: r.verdict for r in got} == dict.fromkeys(range(len(clean)), "allow")
+    bad = ["casino-slots", "poker-jackpot", "cheap-viagra", "payday-cash", "singles-hot", "odds-betting"]  # none is labelled
+    assert not set(bad) & set(LABELLED_HOSTS[1])
+    df = spark.createDataFrame([(i, f"https://www.{h}.example.net/fr/3") for i, h in enumerate(bad)], "page_id long, url string")
+    got = url_filter.judge(df, model, RULES).collect()
+    assert {r.page_id: r.verdict for r in got} == dict.fromkeys(range(len(bad)), "block")
 
 
 # --- mixing
