@@ -18,7 +18,7 @@ from tabmine.spec import ORDERS
 K_FEATS = ["points", "log_price", "age", "desc_words"]
 SEED = ORDERS.seed
 #: Rows of the sampled silhouettes.
-SAMPLE, EMB_SAMPLE = 15000, 400
+SAMPLE = EMB_SAMPLE = 15000
 
 EMB_SQL = """
 WITH e AS (SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS v FROM embeddings)"""
@@ -97,7 +97,7 @@ FROM ab"""
     ORDER BY substr(md5(concat_ws('-', vec_id, {SEED})), 1, 13), vec_id LIMIT {EMB_SAMPLE}""", "sqrt(d2)"))
 def silhouette_sample_q(spark, sf_dir):
     """K4: exact silhouette with the label as cluster, on the K1 sample of
-    400 embeddings (both sides draw the same rows)."""
+    15 000 embeddings (both sides draw the same rows; all, where there are fewer)."""
     e = sample_n(_emb(spark, sf_dir).withColumnRenamed("vec_id", "row_id"), EMB_SAMPLE, SEED)
     s = silhouette_sample(e, "embedding", "label")
     return s.select("n", F.round("silhouette", 6).alias("silhouette"))

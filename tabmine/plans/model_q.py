@@ -14,7 +14,7 @@ from tabmine.operators.explain import permutation_importance, top_text_terms
 from tabmine.operators.metrics import binary_metrics, leaderboard, roc_auc
 from tabmine.operators.models import Candidate, boosting, default_candidates, fit_candidate, load_fitted, logistic
 from tabmine.operators.split import holdout_split
-from tabmine.operators.tune import (best_params, cross_validate, cv_summary, grid_search, nested_folds, nested_stacking,
+from tabmine.operators.tune import (cross_validate, cv_summary, grid_search, nested_folds, nested_stacking,
                                      stacking_fit)
 from tabmine.plans.prep_q import SPLIT_SQL, split_clean
 from tabmine.plans.registry import query
@@ -147,11 +147,9 @@ def stacking(spark, sf_dir):
 
 @query("cv_stacking")
 def cv_stacking(spark, sf_dir):
-    """M9 + M12: 5-fold CV of the tuned text model, a tree and their stack; the stack's own folds lie inside the others'."""
+    """M9 + M12: 5-fold CV of two tabular models and of their stack, whose own 5 folds lie inside the others'."""
     tr, _ = docs_split(spark, sf_dir)
-    tuned = best_params(grid_search("lr_text", _text_candidate, TEXT_GRID, tr, DOCS_SPEC, 3, DOCS_MIN_FREQ, SEED), TEXT_GRID)
-    bases = [_text_candidate(**tuned), _by_name("tree")[0]]
-    return cv_summary(nested_stacking(bases, tr, DOCS_SPEC, 5, 5, DOCS_MIN_FREQ, SEED))
+    return cv_summary(nested_stacking(_by_name("lr_tabular", "tree"), tr, DOCS_SPEC, 5, 5, DOCS_MIN_FREQ, SEED))
 
 
 @query("nested_folds", SPLIT_SQL + """
