@@ -26,6 +26,15 @@ def dup_count(df: DataFrame, keys: Sequence[str]) -> DataFrame:
                  F.count(F.lit(1)).cast("bigint").alias("distinct_keys"))
 
 
+#: Lists up to this many bytes are broadcast; larger ones are joined by a shuffle.
+BROADCAST_BYTES = 32 << 20
+
+
+def _listed(df: DataFrame, row_bytes: int) -> DataFrame:
+    """A staged list with a broadcast hint if its rows fit in ``BROADCAST_BYTES``, else as it is."""
+    return F.broadcast(df) if df.count() * row_bytes <= BROADCAST_BYTES else df
+
+
 def key_digest(keys: Sequence[str]):
     """128 bits of the keys' values; null differs from every value, and lengths keep neighbours apart."""
     said = [F.coalesce(F.concat(F.octet_length(F.col(k).cast("string")).cast("string"), F.lit(":"), F.col(k).cast("string")),
@@ -44,7 +53,7 @@ def later_copies(df: DataFrame, keys: Sequence[str], order_col: str = "row_id")
     d = key_digest(keys).alias("_d")
     again = materialize(df.select(d).groupBy("_d").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select("_d"), "dedup-again")
     some = materialize(df.select(d, order_col, *[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)])
-                       .join(again, "_d", "left_semi"), "dedup-rows")
+                       .join(_listed(again, 64), "_d", "left_semi"), "dedup-rows")
     same = [f"_k{i}" for i in range(len(keys))]
     first = some.groupBy("_d", *same).agg(F.min(order_col).alias("_first"))
     # keys are told apart by digest and first row: texts meet in the comparison only
@@ -59,10 +68,10 @@ def dedup_first(df: DataFrame, keys: Sequence[str], order_col: str = "row_id") -
 
     ``order_col`` has no nulls and differs among the rows of a key. The later rows are named by
     (digest, order) and taken out by an anti join, so whole rows are not shuffled where the
-    list of later copies fits Spark's broadcast size; ``dropDuplicates`` would keep an arbitrary row.
+    list of later copies is of at most ``BROADCAST_BYTES``; ``dropDuplicates`` would keep an arbitrary row.
     """
     later = later_copies(df, keys, order_col)
-    return df.withColumn("_d", key_digest(list(keys))).join(later, ["_d", order_col], "left_anti").select(*df.columns)
+    return df.withColumn("_d", key_digest(list(keys))).join(_listed(later, 96), ["_d", order_col], "left_anti").select(*df.columns)
 
 
 def strip_columns(df: DataFrame, cols: Sequence[str], unicode: bool = True) -> DataFrame:
