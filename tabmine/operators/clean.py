@@ -55,7 +55,8 @@ def later_copies(df: DataFrame, keys: Sequence[str], order_col: str = "row_id")
     some = materialize(df.select(d, order_col, *[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)])
                        .join(_listed(again, 64), "_d", "left_semi"), "dedup-rows")
     same = [f"_k{i}" for i in range(len(keys))]
-    first = some.groupBy("_d", *same).agg(F.min(order_col).alias("_first"))
+    # written, so that Spark splits a key that many rows share on the other side of the join
+    first = materialize(some.groupBy("_d", *same).agg(F.min(order_col).alias("_first")), "dedup-first")
     # keys are told apart by digest and first row: texts meet in the comparison only
     on = (some["_d"] == first["_d"]) & (some[order_col] > F.col("_first"))
     for k in same:
