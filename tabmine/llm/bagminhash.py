@@ -3,8 +3,7 @@
 A document is the multiset of its five-word shingles. Weights are discretised
 at the whole numbers and grouped into dyadic ranges [0,1), [1,2), [2,4), ...;
 each (shingle, range) runs a Poisson process of its own, whose points fall on
-signature places and, by halving the range again and again, on one weight
-level; points below the shingle's count are in. A signature keeps the first
+signature places and on a weight level drawn within the range; points below the shingle's count are in. A signature keeps the first
 point per place, so two documents agree at a place with probability equal to
 their weighted Jaccard similarity. Processes stop once they are later than all
 places, which makes a signature cost about one point per shingle.
@@ -161,37 +160,46 @@ def merged(label: DataFrame, links: DataFrame) -> DataFrame:
 def _tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """A row per element of each bag; the i-th copy of a shingle is an element of its own."""
     for batch in batches:
-        for t, bag in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+        for u, bag in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
             bag = np.frombuffer(bag, np.uint64)
             if len(bag):
                 new = np.concatenate([[True], bag[1:] != bag[:-1]])
                 start = np.flatnonzero(new)
                 copy = np.arange(len(bag)) - np.repeat(start, np.diff(np.append(start, len(bag))))
                 tok = mixed(bag + copy.astype(np.uint64) * STEP).view(np.int64)
-                yield pa.record_batch([pa.array([t] * len(bag), pa.binary()), pa.array(tok)], ["t", "tok"])
+                yield pa.record_batch([pa.array(np.full(len(bag), u, np.int64)), pa.array(tok)], ["u", "tok"])
 
 
-def _prefix_pairs(bags: DataFrame, label: DataFrame, threshold: float) -> DataFrame:
+def _prefix_pairs(bags: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
     """Every pair (a, b) of texts in different components that can still be linked.
 
-    Elements are ordered by how rare they are; two multisets of similarity
-    ``threshold`` share one of their first n - ceil(threshold n) + 1 elements,
-    and the places of a shared element bound what they can share in all. A text
-    whose own edits fill its prefix meets nobody.
+    ``bags`` has (u, bag), ``texts`` (u, t, n, c). Elements are ordered by how rare
+    they are. The first element that two multisets of similarity ``threshold`` share
+    lies in the first n - ceil(threshold n) + 1 of the longer one and in the first
+    n - ceil(2 threshold / (1 + threshold) n) + 1 of the shorter one, and its places
+    bound what they can share in all; so texts that all share one passage, but too
+    little to be linked, do not meet. Elements of one text alone come first and are
+    only counted; a text whose prefix they fill meets nobody.
     """
-    tok = stage(bags.mapInArrow(_tokens, "t binary, tok long"), "elements")
-    often = stage(tok.groupBy("tok").agg(F.count("*").alias("df")), "element-counts")
-    order = Window.partitionBy("t").orderBy("df", "tok")
-    ranked = tok.join(often, "tok").withColumn("at", F.row_number().over(order))
-    size = tok.groupBy("t").agg(F.count("*").alias("n"))
-    ranked = (ranked.join(size, "t").filter(F.col("at") <= F.col("n") - F.ceil(F.col("n") * threshold) + 1)
-              .filter("df > 1").join(label, "t"))
-    ranked = stage(ranked.select("tok", "t", "n", "at", "c"), "prefixes")
+    tok = stage(bags.mapInArrow(_tokens, "u long, tok long"), "elements")
+    often = tok.groupBy("tok").agg(F.count("*").alias("df")).filter("df > 1")
+    text = Window.partitionBy("u")
+    ranked = (tok.join(often, "tok").select("u", "tok", F.row_number().over(text.orderBy("df", "tok")).alias("r"),
+                                            F.count("*").over(text).alias("s"))
+              .join(texts, "u").withColumn("at", F.col("n") - F.col("s") + F.col("r")))
+
+    def prefix(share: float):
+        return F.col("at") <= F.col("n") - F.ceil(F.col("n") * share - 1e-6) + 1
+
+    ranked = ranked.filter(prefix(threshold)).select(
+        "tok", "t", "n", "at", "c", prefix(2 * threshold / (1 + threshold)).alias("short"))
+    ranked = stage(ranked, "prefixes")
     mixed_ = ranked.groupBy("tok").agg(F.min("c").alias("c1"), F.max("c").alias("c2")).filter("c1 != c2").select("tok")
     x = ranked.join(mixed_, "tok")
-    y = x.select("tok", *[F.col(v).alias(f"{v}2") for v in ("t", "n", "at", "c")])
+    y = x.filter("short").select("tok", *[F.col(v).alias(f"{v}2") for v in ("t", "n", "at", "c")])
     share = F.least(F.col("n") - F.col("at"), F.col("n2") - F.col("at2")) + 1
-    return (x.join(y, "tok").filter((F.col("t") < F.col("t2")) & (F.col("c") != F.col("c2")))
+    shorter = (F.col("n2") < F.col("n")) | ((F.col("n2") == F.col("n")) & (F.col("t2") < F.col("t")))
+    return (x.drop("short").join(y, "tok").filter(shorter & (F.col("c") != F.col("c2")))
             .filter(share >= (F.col("n") + F.col("n2")) * (threshold / (1 + threshold)) - 1e-6)
             .select(F.col("t").alias("a"), F.col("t2").alias("b")).distinct())
 
@@ -215,7 +223,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     where several components are left, with the member that has the most links.
     Texts of buckets still not in one component are joined on the rarest
     elements of their multisets, which loses no link. Equal texts count as one
-    text throughout.
+    text throughout; buckets and elements name texts by 64 bits, all else by 128.
     """
     own = ["class_id", "class_size", "kept", "n_copies"]
     rows = docs.drop(*own).withColumn("__t", digest128(text_of(text_col)))
@@ -223,18 +231,19 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     signed = docs.select(digest128(text_of(text_col)).alias("t"), text_of(text_col).alias("x")).mapInArrow(
         lambda bs: _sign(bs, shingle, places, band_rows), sign_schema)
     signed = stage(signed.dropDuplicates(["t"]), "signed")
-    spread = signed.select("t", "n", F.explode("bands").alias("k"))
-    drawn = F.struct(F.xxhash64("t", F.pmod("k", F.lit(8))), "t")
-    crowded = spread.groupBy("k").agg(F.min(drawn).alias("lead"), F.count("*").alias("m")).filter("m > 1")
-    member = stage(spread.join(crowded.select("k", F.col("lead.t").alias("lead")), "k"), "bucket-members")
+    text = signed.select(F.xxhash64("t").alias("u"), "t", "n")
+    spread = signed.select(F.xxhash64("t").alias("u"), F.explode("bands").alias("k"))
+    turn = F.xxhash64(F.pmod("k", F.lit(8)))
+    crowded = spread.groupBy("k").agg(F.min(F.col("u").bitwiseXOR(turn)).alias("d"), F.count("*").alias("m")).filter("m > 1")
+    member = stage(spread.join(crowded.select("k", F.col("d").bitwiseXOR(turn).alias("lead")), "k"), "bucket-members")
 
     fits = lambda x, y: F.least(x, y) >= threshold * F.greatest(x, y)  # noqa: E731  a bound on the similarity
-    size = signed.select(F.col("t").alias("lead"), F.col("n").alias("lead_n"))
-    first = (member.filter("t != lead").select("lead", "t", "n").distinct().join(size, "lead")
-             .filter(fits(F.col("n"), F.col("lead_n"))).select(F.col("lead").alias("a"), F.col("t").alias("b")))
-    wanted = stage(member.select("t").distinct(), "bag-keys")
+    wanted = stage(member.select("u").distinct().join(text, "u"), "bag-keys")
+    first = (member.filter("u != lead").select("lead", "u").distinct().join(wanted, "u")
+             .join(wanted.select(F.col("u").alias("lead"), F.col("t").alias("a"), F.col("n").alias("lead_n")), "lead")
+             .filter(fits(F.col("n"), F.col("lead_n"))).select("a", F.col("t").alias("b")))
     bags = (docs.select(digest128(text_of(text_col)).alias("t"), text_of(text_col).alias("x"))
-            .join(wanted, "t", "left_semi").mapInArrow(lambda bs: _bags(bs, shingle), "t binary, bag binary"))
+            .join(wanted.select("t"), "t", "left_semi").mapInArrow(lambda bs: _bags(bs, shingle), "t binary, bag binary"))
     bags = stage(bags.dropDuplicates(["t"]), "bags")
 
     def compared(pairs: DataFrame, name: str) -> DataFrame:
@@ -245,9 +254,11 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     links = compared(first, "links-1")
     label = components(wanted, links.filter(F.col("sim") >= threshold))
     # buckets that still hold several components
-    left = member.join(label, "t")
-    open_ = left.groupBy("k").agg(F.min("c").alias("c1"), F.max("c").alias("c2")).filter("c1 != c2").select("k")
-    left = stage(left.join(open_, "k"), "open-buckets")
+    named = stage(wanted.join(label, "t"), "labelled")
+    short = named.select("u", F.xxhash64("c").alias("c"))
+    open_ = (member.select("k", "u").join(short, "u").groupBy("k").agg(F.min("c").alias("c1"), F.max("c").alias("c2"))
+             .filter("c1 != c2").select("k"))
+    left = stage(member.select("k", "u").join(open_, "k").join(named, "u"), "open-buckets")
     if not left.isEmpty():
         good = links.filter(F.col("sim") >= threshold)
         degree = good.select(F.col("a").alias("t")).union(good.select("b")).groupBy("t").agg(F.count("*").alias("deg"))
@@ -261,7 +272,9 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         links2 = compared(second, "links-2")
         links = links.union(links2)
         label = merged(label, links2.filter(F.col("sim") >= threshold))
-        rest = _prefix_pairs(bags.join(left.select("t").distinct(), "t", "left_semi"), label, threshold)
+        some = left.select("t").distinct()
+        rest = _prefix_pairs(bags.join(some, "t", "left_semi").select(F.xxhash64("t").alias("u"), "bag"),
+                             wanted.join(some, "t", "left_semi").join(label, "t"), threshold)
         rest = rest.join(links.select("a", "b"), ["a", "b"], "left_anti").join(
             links.select(F.col("b").alias("a"), F.col("a").alias("b")), ["a", "b"], "left_anti")
         label = merged(label, compared(rest, "links-3").filter(F.col("sim") >= threshold))

@@ -158,6 +158,30 @@ def test_near(spark):
     assert bagminhash.near_duplicates(docs_of(spark, [])).count() == 0
 
 
+def prefix_pairs(spark, bags: list[list[int]]) -> set:
+    rows = [(i, i.to_bytes(4, "big"), len(b), np.sort(np.array(b, np.uint64)).tobytes()) for i, b in enumerate(bags)]
+    df = spark.createDataFrame([(u, bytearray(t), n, bytearray(t), bytearray(b)) for u, t, n, b in rows],
+                               "u long, t binary, n long, c binary, bag binary")
+    got = bagminhash._prefix_pairs(df.select("u", "bag"), df.select("u", "t", "n", "c"), 0.8).collect()
+    return {frozenset((int.from_bytes(r.a, "big"), int.from_bytes(r.b, "big"))) for r in got}
+
+
+def test_prefix_pairs_lose_no_link(spark):
+    rng = random.Random(8)
+    bags = []
+    for _ in range(12):  # families of multisets around the threshold, of unequal lengths
+        base = [rng.randrange(40) for _ in range(rng.randrange(1, 40))]
+        bags += [[rng.randrange(40) if rng.random() < 0.1 else x for x in base] + base[:rng.randrange(4)] for _ in range(8)]
+    linked = {frozenset((i, j)) for i in range(len(bags)) for j in range(i)
+              if bagminhash.jaccard(np.sort(np.array(bags[i], np.uint64)), np.sort(np.array(bags[j], np.uint64))) >= 0.8}
+    assert len(linked) > 50 and linked <= prefix_pairs(spark, bags)
+
+
+def test_texts_over_one_passage_do_not_all_meet(spark):
+    bags = [[*range(60), *range(1000 + 10 * i, 1010 + 10 * i)] for i in range(400)]  # similarity 60 / 80 each
+    assert prefix_pairs(spark, bags) == set()
+
+
 def test_signatures_estimate_weighted_jaccard():
     rng = np.random.default_rng(0)
     items = rng.integers(0, 2**63, 60).astype(np.uint64)
