@@ -9,9 +9,11 @@ from tabmine.operators.profile import (box_stats, describe_numeric, distinct_cou
                                        group_stats, hexbin_counts, histogram, keep_top,
                                        missing_profile, schema_profile, value_counts)
 from tabmine.operators.ranks import exact_quantiles
+from tabmine.operators.sketches import merge_sketches, sketch_parts, sketch_profile
 from tabmine.plans import sql
 from tabmine.plans.registry import query
-from tabmine.sources.views import docs_review, orders_review
+from tabmine.session import materialize
+from tabmine.sources.views import docs_review, orders_review, table
 from tabmine.spec import ORDERS
 
 ORDER_COLS = ("row_id", "customer_id", "country", "description", "designation", "points", "price",
@@ -208,3 +210,44 @@ FROM g GROUP BY lattice, ix, iy""")
 def density2d(spark, sf_dir):
     r = orders_review(spark, sf_dir).where(F.col("price") > 0)
     return hexbin_counts(r.select(F.log10("price").alias("lp"), "points"), "lp", "points", 40)
+
+
+SKETCHED = ("o_custkey", "o_totalprice", "o_orderpriority")
+
+
+def _monthly_sketches(orders):
+    parts = orders.withColumn("month", F.date_format("o_orderdate", "yyyy-MM"))
+    return materialize(sketch_parts(parts, ["month"], SKETCHED), "monthly-sketches")
+
+
+@query("sketch_profile")
+def sketch_profile_q(spark, sf_dir):
+    """A2 + A6 from stored sketches: distinct counts and quartiles of every year, and of all years
+    (year null) from the years' sketches; the orders are read once."""
+    stored = _monthly_sketches(table(spark, sf_dir, "orders"))
+    yearly = materialize(merge_sketches(stored.withColumn("year", F.substring("month", 1, 4)), ["year"]), "yearly-sketches")
+    total = merge_sketches(yearly).select(F.lit(None).cast("string").alias("year"), "*")
+    return sketch_profile(yearly.unionByName(total))
+
+
+@query("sketch_errors", "SELECT * FROM (" + " UNION ALL ".join(
+    f"SELECT '{c}' AS \"column\", CAST(count(*) AS BIGINT) AS n_rows, CAST(count(*) - count({c}) AS BIGINT) AS n_null, "
+    f"CAST(count(DISTINCT {c}) AS BIGINT) AS n_distinct, TRUE AS distinct_within, "
+    f"{'TRUE' if c == 'o_totalprice' else 'CAST(NULL AS BOOLEAN)'} AS quartiles_within FROM orders" for c in SKETCHED) + ")")
+def sketch_errors(spark, sf_dir):
+    """A2 + A6: exact distinct counts, and whether the merged monthly sketches are within their stated
+    errors of the exact figures (distinct: 4 standard errors; quartiles: 2 % of the ranks)."""
+    o = table(spark, sf_dir, "orders")
+    est = materialize(sketch_profile(merge_sketches(_monthly_sketches(o))), "sketch-figures")
+    price = est.where(F.col("column") == "o_totalprice").select(*[F.col(q).alias(f"_{q}") for q in ("q25", "q50", "q75")])
+    counts = [F.countDistinct(c).alias(c) for c in SKETCHED]
+    below = [F.avg((F.col("o_totalprice") <= F.col(f"_q{p}")).cast("double")).alias(f"p{p}") for p in (25, 50, 75)]
+    ranks = o.select("o_totalprice").join(F.broadcast(price)).agg(*below)  # one row of three quartiles
+    exact = o.agg(*counts).join(F.broadcast(ranks)).select(F.inline(F.array(*[F.struct(
+        F.lit(c).alias("column"), F.col(c).alias("exact"),
+        (F.greatest(*[F.abs(F.col(f"p{p}") - p / 100) for p in (25, 50, 75)]) <= 0.02 if c == "o_totalprice"
+         else F.lit(None).cast("boolean")).alias("quartiles_within")) for c in SKETCHED])))
+    return est.join(exact, "column").select(
+        "column", "n_rows", "n_null", F.col("exact").alias("n_distinct"),
+        (F.abs(F.col("n_distinct") - F.col("exact")) <= 4 * 1.04 / 64 * F.col("exact") + 1).alias("distinct_within"),
+        "quartiles_within")
