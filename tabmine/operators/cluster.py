@@ -3,11 +3,11 @@ segment profiles, PCA.
 
 * K-Means is Spark ML's (k-means|| init); "best of R restarts" fits R seeds
   and keeps the lowest training cost (Spark has no n_init).
-* Exact Euclidean silhouette on a bounded sample: each task takes a batch of
-  sample rows and the broadcast sample matrix (its size is the sample size
-  parameter), computes the distances with NumPy and emits one row per point
-  — no pair rows are materialised. ``silhouette_all`` is the scalable
-  alternative on every row (Spark's evaluator, squared Euclidean).
+* Exact Euclidean silhouette by blocks of points: every pair of blocks is one
+  group, whose distances NumPy adds up per point and cluster — no pair rows,
+  nothing of the points on the driver. Work is quadratic in the rows, so give it
+  a sample (K1); ``silhouette_all`` is the linear alternative (Spark's
+  evaluator, squared Euclidean).
 * Assignment to given centres (``assign_fixed``) is pure column arithmetic.
 """
 
@@ -22,10 +22,10 @@ from pyspark.ml.feature import PCA, VectorAssembler
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from tabmine.operators.prep import fit_medians, fit_scaler, impute, standardize
 from tabmine.operators.ranks import exact_quantiles
+from tabmine.session import materialize
 
 
 def standardized_matrix(df: DataFrame, cols: Sequence[str], id_col: str = "row_id",
@@ -62,43 +62,69 @@ def silhouettes(own: np.ndarray, sums: np.ndarray, sizes: np.ndarray) -> np.ndar
     return np.where(ok, b - a, 0.0) / np.where(ok, top, 1.0)
 
 
-def silhouette_sample(df: DataFrame, features_array: str, label: str, id_col: str = "row_id",
-                      max_rows: int = 50_000) -> DataFrame:
-    """K4: exact mean silhouette (Euclidean) of the rows of ``df``.
+def _pair_sums(k: int):
+    """A pair of blocks to each point's distance sums to the k clusters' points in the other block."""
+
+    def sums(g):
+        import pandas as pd
+        out = []
+        for x, y in (("lb", "rb"), ("rb", "lb")) if g["lb"].iat[0] != g["rb"].iat[0] else (("lb", "rb"),):
+            p, q = g[g["b"] == g[x].iat[0]], g[g["b"] == g[y].iat[0]]
+            if not len(p) or not len(q):
+                continue
+            m, v_all = np.stack(q["v"].to_numpy()), np.stack(p["v"].to_numpy())
+            member = (q["c"].to_numpy()[:, None] == np.arange(k)).astype(np.float64)
+            ids, mm = q["p"].to_numpy(), (m * m).sum(1)
+            for lo in range(0, len(v_all), 256):  # at most 256 x block doubles at a time
+                v, at = v_all[lo:lo + 256], p["p"].to_numpy()[lo:lo + 256]
+                d2 = (v * v).sum(1)[:, None] + mm[None, :] - 2.0 * (v @ m.T)
+                d2[at[:, None] == ids[None, :]] = 0.0
+                part = pd.DataFrame(np.sqrt(np.maximum(d2, 0.0)) @ member, columns=[f"s{j}" for j in range(k)])
+                part.insert(0, "c", p["c"].to_numpy()[lo:lo + 256])
+                part.insert(0, "p", at)
+                out.append(part)
+        return pd.concat(out) if out else pd.DataFrame({c: [] for c in ["p", "c", *[f"s{j}" for j in range(k)]]})
 
-    ``df`` is a bounded sample (K1); its matrix and labels are broadcast once
-    and every task scores its own rows against it. More than ``max_rows`` rows
-    are an error (``silhouette_all`` has no bound). Singleton clusters score 0.
-    Columns: n, silhouette.
+    return sums
+
+
+def silhouette_sample(df: DataFrame, features_array: str, label: str, id_col: str = "row_id",
+                      max_rows: int | None = None, block_rows: int = 2048) -> DataFrame:
+    """K4: exact mean silhouette (Euclidean) of the rows of ``df``. Columns: n, silhouette.
+
+    Points are dealt at random into blocks of about ``block_rows``. A point goes
+    once to each block it meets, every pair of blocks is a group of its own that
+    serves both sides, and the sums of a point's groups are added by Spark. The
+    driver knows the clusters and their sizes only. There is no bound on rows
+    unless ``max_rows`` sets one (more are an error). Singleton clusters score 0;
+    rows without a vector or label don't count; without rows the mean is null.
     """
-    spark = df.sparkSession
-    pts = df.select(id_col, F.col(features_array).cast("array<double>").alias("v"), F.col(label).alias("c"))
-    rows = pts.limit(max_rows + 1).collect()
-    if len(rows) > max_rows:
+    pts = df.where(F.col(features_array).isNotNull() & F.col(label).isNotNull()).select(
+        F.col(features_array).cast("array<double>").alias("v"), F.col(label).alias("name"))
+    pts = materialize(pts.withColumns({"r": F.rand(7), "p": F.monotonically_increasing_id()}), "silhouette-points")
+    size = {r["name"]: r["n"] for r in pts.groupBy("name").agg(F.count(F.lit(1)).alias("n")).collect()}
+    n, names = sum(size.values()), sorted(size)
+    if max_rows is not None and n > max_rows:
         raise ValueError(f"more than {max_rows} rows: sample them, or use silhouette_all")
-    mat = np.array([r["v"] for r in rows], dtype=np.float64)
-    names, lab, sizes = np.unique(np.array([r["c"] for r in rows]), return_inverse=True, return_counts=True)
-    bc = spark.sparkContext.broadcast((mat, lab))
-    schema = T.StructType([T.StructField("s", T.DoubleType())])
+    k, blocks = max(1, len(names)), max(1, -(-n // block_rows))
+    codes = df.sparkSession.createDataFrame([(x, i) for i, x in enumerate(names)], pts.select("name").schema.add("c", "integer"))
+    at = (pts.join(F.broadcast(codes), "name").withColumn("b", F.floor(F.col("r") * blocks).cast("int"))
+          .withColumn("o", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))))
+    pairs = at.select("p", "v", "c", "b", F.least("b", "o").alias("lb"), F.greatest("b", "o").alias("rb"))
+    cols = [f"s{j}" for j in range(k)]
+    schema = ", ".join(["p long", "c int", *[f"{c} double" for c in cols]])
+    # as many partitions as pairs (or the session's, if more), or small groups would share a few tasks
+    tasks = max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), min(blocks * (blocks + 1) // 2, 20_000))
+    per = pairs.repartition(tasks, "lb", "rb").groupBy("lb", "rb").applyInPandas(_pair_sums(k), schema)
+    per = per.groupBy("p", "c").agg(*[F.sum(c).alias(c) for c in cols])
+    sizes = np.array([size[x] for x in names])
 
     def score(batches):
         import pandas as pd
-        m, lb = bc.value
-        member = (lb[:, None] == np.arange(len(sizes))).astype(np.float64)
-        mm = (m * m).sum(1)
         for b in batches:
-            if len(b) == 0:
-                continue
-            v_all = np.stack(b["v"].to_numpy())
-            own_all = np.searchsorted(names, b["c"].to_numpy())
-            # chunks keep the distance block at <= 256 x n doubles per task
-            for lo in range(0, len(v_all), 256):
-                v, own = v_all[lo:lo + 256], own_all[lo:lo + 256]
-                d2 = (v * v).sum(1)[:, None] + mm[None, :] - 2.0 * (v @ m.T)
-                d = np.sqrt(np.maximum(d2, 0.0))
-                yield pd.DataFrame({"s": silhouettes(own, d @ member, sizes)})
+            yield pd.DataFrame({"s": silhouettes(b["c"].to_numpy(), b[cols].to_numpy(), sizes) if len(b) else []})
 
-    s = pts.select("v", "c").repartition(max(1, len(rows) // 500)).mapInPandas(score, schema)
+    s = per.mapInPandas(score, "s double")
     return s.agg(F.count(F.lit(1)).cast("bigint").alias("n"), F.avg("s").alias("silhouette"))
 
 

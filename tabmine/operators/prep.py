@@ -4,11 +4,11 @@
   * exact interpolated medians of the numeric columns (F1),
   * mean and population std of the imputed columns (F2; std 0 -> 1),
   * per categorical column the levels seen at least ``min_freq`` times
-    (F3/F4; null is a level of its own; rarer levels pool into one bucket).
-Only these constants reach the driver (the frequent-level lists are bounded
-by rows / min_freq). The fitted prep rewrites columns with built-in
-expressions and assembles vectors with Spark ML stages fitted on the same
-training rows, so test rows never influence any constant (F8).
+    (F3/F4; null is a level of its own; rarer levels pool into one bucket),
+    as a table with codes (``operators.levels``).
+Medians and scales reach the driver, levels do not. The fitted prep rewrites
+columns with built-in expressions and joins, and assembles vectors with Spark
+ML stages, so test rows never influence any constant (F8).
 """
 
 from __future__ import annotations
@@ -17,18 +17,15 @@ from collections.abc import Sequence
 from dataclasses import dataclass, field
 
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
+from pyspark.ml.feature import OneHotEncoder, VectorAssembler
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tabmine.operators.levels import Levels, fit_levels
 from tabmine.operators.profile import to_long
 from tabmine.operators.ranks import exact_quantiles
 from tabmine.spec import FeatureSpec
 
-MISSING = "__missing__"
-INFREQUENT = "__infrequent__"
-UNSEEN = "__unseen__"
-
 
 def fit_medians(df: DataFrame, cols: Sequence[str]) -> dict[str, float]:
     """exact medians of several columns in one distributed pass."""
@@ -55,41 +52,12 @@ def standardize(df: DataFrame, stats: dict[str, tuple[float, float]], suffix: st
     return df.withColumns({f"{c}{suffix}": (F.col(c) - F.lit(m)) / F.lit(s) for c, (m, s) in stats.items()})
 
 
-def fit_levels(df: DataFrame, cols: Sequence[str], min_freq: int) -> dict[str, tuple[list[str], bool]]:
-    """frequent levels per column and whether any rare level exists.
-
-    All columns in one pass: unpivot to (column, level), count, then per
-    column the frequent levels (at most rows / min_freq of them) and a
-    rare-level flag reach the driver.
-    """
-    if not cols:
-        return {}
-    lv = df.select(*[F.coalesce(F.col(c).cast("string"), F.lit(MISSING)).alias(c) for c in cols]).unpivot(
-        [], list(cols), "column", "lv")
-    g = lv.groupBy("column", "lv").agg(F.count(F.lit(1)).alias("n"))
-    per = g.groupBy("column").agg(
-        F.collect_list(F.when(F.col("n") >= min_freq, F.col("lv"))).alias("keep"),
-        F.max((F.col("n") < min_freq).cast("int")).alias("rare")).collect()
-    got = {r["column"]: (sorted(r["keep"]), bool(r["rare"])) for r in per}
-    return {c: got.get(c, ([], False)) for c in cols}
-
-
-def pool_levels(df: DataFrame, levels: dict[str, tuple[list[str], bool]], suffix: str = "_lv") -> DataFrame:
-    """Map each value to itself (frequent), the rare bucket, or 'unseen'."""
-    exprs = {}
-    for c, (keep, rare) in levels.items():
-        v = F.coalesce(F.col(c).cast("string"), F.lit(MISSING))
-        other = F.lit(INFREQUENT if rare else UNSEEN)
-        exprs[f"{c}{suffix}"] = F.when(v.isin(keep), v).otherwise(other) if keep else other
-    return df.withColumns(exprs)
-
-
 @dataclass
 class FittedPrep:
     spec: FeatureSpec
     medians: dict
     scaler: dict
-    levels: dict
+    levels: Levels
     onehot: bool
     model: PipelineModel | None = None
     text_model: object | None = None
@@ -99,7 +67,7 @@ class FittedPrep:
         d = impute(df, self.medians)
         if self.onehot:
             d = standardize(d, self.scaler, "_z")
-        return pool_levels(d, self.levels)
+        return self.levels.attach(d)
 
     def transform(self, df: DataFrame) -> DataFrame:
         d = self.columns(df)
@@ -109,7 +77,7 @@ class FittedPrep:
 
     @property
     def max_levels(self) -> int:
-        return max([len(k) + 2 for k, _ in self.levels.values()] + [2])
+        return max([self.levels.width(c) + 1 for c in self.levels.columns] + [2])
 
 
 class TabularPrep:
@@ -131,15 +99,13 @@ class TabularPrep:
         stages, inputs = [], []
         inputs += [f"{c}_z" for c in s.num] if self.onehot else list(s.num)
         inputs += list(s.bin)
-        for c in s.cat:
-            stages.append(StringIndexer(inputCol=f"{c}_lv", outputCol=f"{c}_ix", handleInvalid="keep",
-                                        stringOrderType="alphabetAsc"))
-            if self.onehot:
-                stages.append(OneHotEncoder(inputCol=f"{c}_ix", outputCol=f"{c}_oh", dropLast=False,
-                                            handleInvalid="keep"))
-                inputs.append(f"{c}_oh")
-            else:
-                inputs.append(f"{c}_ix")
+        codes = [f"{c}_ix" for c in s.cat]
+        if self.onehot and codes:
+            hot = [f"{c}_oh" for c in s.cat]
+            stages.append(OneHotEncoder(inputCols=codes, outputCols=hot, dropLast=False))
+            inputs += hot
+        else:
+            inputs += codes
         if self.text is not None:
             fp.text_model = self.text.fit(d)
             d = fp.text_model.transform(d)

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tabmine.operators.ranks import exact_quantiles
+from tabmine.session import materialize
 
 
 def missing_profile(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
@@ -124,24 +125,26 @@ def group_medians(df: DataFrame, groups: Sequence[str], cols: Sequence[str], ndi
 def box_stats(df: DataFrame, group: str, value: str, ndigits: int = 6) -> DataFrame:
     """Quartiles, 1.5·IQR whiskers and outlier count per group.
 
-    Whiskers are the most extreme values inside the fences. The quartile table
-    has one row per group and is joined back by key.
+    Whiskers are the most extreme values inside the fences. Rows are counted per
+    (group, value) first, so quartiles come from the counts and a hot group
+    meets its fences as one row per distinct value.
     """
     d = df.where(F.col(group).isNotNull() & F.col(value).isNotNull())
-    q = (exact_quantiles(d, value, [0.25, 0.5, 0.75], [group])
-         .groupBy(group).pivot("q", [0.25, 0.5, 0.75]).agg(F.first(value)))
+    d = materialize(d.groupBy(group, F.col(value).cast("double").alias("_v")).agg(F.count(F.lit(1)).alias("_n")), "box-counts")
+    q = (exact_quantiles(d, "_v", [0.25, 0.5, 0.75], [group], weight="_n")
+         .groupBy(group).pivot("q", [0.25, 0.5, 0.75]).agg(F.first("_v")))
     q = q.toDF(group, "q1", "median", "q3")
     lo_f = F.col("q1") - 1.5 * (F.col("q3") - F.col("q1"))
     hi_f = F.col("q3") + 1.5 * (F.col("q3") - F.col("q1"))
-    j = d.select(group, F.col(value).cast("double").alias("_v")).join(q, group)
+    j = d.join(q, group)
     inside = (F.col("_v") >= lo_f) & (F.col("_v") <= hi_f)
     r = lambda c: F.round(c, ndigits)
     return j.groupBy(group).agg(
-        F.count(F.lit(1)).cast("bigint").alias("n"),
+        F.sum("_n").cast("bigint").alias("n"),
         r(F.first("q1")).alias("q1"), r(F.first("median")).alias("median"), r(F.first("q3")).alias("q3"),
         r(F.min(F.when(inside, F.col("_v")))).alias("whisker_lo"),
         r(F.max(F.when(inside, F.col("_v")))).alias("whisker_hi"),
-        F.count_if(~inside).cast("bigint").alias("n_outliers"))
+        F.sum(F.when(inside, 0).otherwise(F.col("_n"))).cast("bigint").alias("n_outliers"))
 
 
 def histogram(df: DataFrame, col, bins: int, lo: float | None = None, hi: float | None = None,

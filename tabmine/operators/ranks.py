@@ -95,8 +95,8 @@ def prefix_by_value(df: DataFrame, value: str, measures: Sequence[str], groups:
         out = local
         for m in measures:
             if offs[m]:
-                mp = F.create_map(*[x for k, v in offs[m].items() for x in (F.lit(k), F.lit(v))])
-                off = F.coalesce(mp[F.col("_bkt")], F.lit(0))
+                by_place = F.array(*[F.lit(offs[m].get(k, 0)) for k in range(max(offs[m]) + 1)])
+                off = F.get(by_place, F.col("_bkt"))
             else:
                 off = F.lit(0)
             out = (out.withColumn(f"{m}_before", F.col(f"_l_{m}") + off)

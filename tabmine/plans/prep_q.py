@@ -1,5 +1,5 @@
 """Feature-preparation queries (F1-F8) on the cleaned orders table split by M1,
-and TF-IDF (F6) on the English documents."""
+and TF-IDF (F6) on the documents."""
 
 from __future__ import annotations
 
@@ -7,7 +7,8 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from tabmine.operators.clean import clean_reviews
-from tabmine.operators.prep import INFREQUENT, MISSING, TabularPrep, fit_levels, fit_medians, fit_scaler, impute
+from tabmine.operators.levels import INFREQUENT, MISSING, fit_levels
+from tabmine.operators.prep import TabularPrep, fit_medians, fit_scaler, impute
 from tabmine.operators.split import holdout_split
 from tabmine.operators.tfidf import doc_terms, english_stop_words, relational_tfidf, vocabulary
 from tabmine.plans import sql
@@ -59,19 +60,11 @@ def standardize_q(spark, sf_dir):
 LEVEL_COLS = ("country", "taster_name", "winery")
 
 
-def _levels_df(spark, sf_dir):
-    """Training counts per level and the pooled level each maps to."""
+def _level_rows(spark, sf_dir):
+    """Training rows with the columns whose levels are learned."""
     t = clean_reviews(orders_review(spark, sf_dir), ORDERS).table
     t = t.join(orders_review(spark, sf_dir).select("row_id", "winery"), "row_id")
-    tr = holdout_split(t, "high_quality", 0.2, ORDERS.seed).where(F.col("split") == "train")
-    levels = fit_levels(tr, LEVEL_COLS, MIN_FREQ)
-    lv = tr.select(*[F.coalesce(F.col(c).cast("string"), F.lit(MISSING)).alias(c) for c in LEVEL_COLS]).unpivot(
-        [], list(LEVEL_COLS), "column", "level")
-    g = lv.groupBy("column", "level").agg(F.count(F.lit(1)).cast("bigint").alias("n"))
-    keep = spark.createDataFrame([(c, k) for c, (ks, _) in levels.items() for k in ks], "column string, level string")
-    kept = g.join(keep.withColumn("_keep", F.lit(True)), ["column", "level"], "left")
-    return kept.select("column", "level", "n",
-                       F.when(F.col("_keep"), F.col("level")).otherwise(F.lit(INFREQUENT)).alias("pooled"))
+    return holdout_split(t, "high_quality", 0.2, ORDERS.seed).where(F.col("split") == "train").select(*LEVEL_COLS)
 
 
 LEVELS_SQL = SPLIT_SQL.replace("FROM clean),", "FROM clean JOIN (SELECT row_id, winery FROM orders_review) USING (row_id)),") + """
@@ -84,24 +77,50 @@ pooled AS (SELECT *, CASE WHEN n >= {MIN_FREQ} THEN level ELSE '{INFREQUENT}' EN
 
 @query("rare_onehot", LEVELS_SQL + " SELECT * FROM pooled")
 def rare_onehot(spark, sf_dir):
-    return _levels_df(spark, sf_dir)
+    """Training counts per level and the pooled level the fitted table gives it."""
+    tr = _level_rows(spark, sf_dir)
+    d = fit_levels(tr, LEVEL_COLS, MIN_FREQ).attach(tr, level="_lv")
+    pairs = F.explode(F.array(*[F.struct(F.lit(c).alias("column"), F.coalesce(c, F.lit(MISSING)).alias("level"),
+                                         F.col(f"{c}_lv").alias("pooled")) for c in LEVEL_COLS]))
+    return d.select(pairs.alias("x")).groupBy("x.column", "x.level", "x.pooled").agg(
+        F.count(F.lit(1)).cast("bigint").alias("n"))
 
 
 @query("rare_ordinal", LEVELS_SQL + """
 SELECT "column", pooled, CAST(dense_rank() OVER (PARTITION BY "column" ORDER BY pooled) - 1 AS INTEGER) AS code
 FROM (SELECT DISTINCT "column", pooled FROM pooled)""")
 def rare_ordinal(spark, sf_dir):
-    """Ordinal code of each pooled level = its alphabetical position (the
-    fitted StringIndexer order of the tree-model prep)."""
-    from pyspark.ml.feature import StringIndexer
-    p = _levels_df(spark, sf_dir).select("column", "pooled").distinct()
-    out = None
-    for c in LEVEL_COLS:
-        d = p.where(F.col("column") == c)
-        m = StringIndexer(inputCol="pooled", outputCol="code", stringOrderType="alphabetAsc").fit(d)
-        r = m.transform(d).select("column", "pooled", F.col("code").cast("int").alias("code"))
-        out = r if out is None else out.unionByName(r)
-    return out
+    """Ordinal code of each pooled level: the fitted table itself."""
+    t = fit_levels(_level_rows(spark, sf_dir), LEVEL_COLS, MIN_FREQ).table
+    return t.select("column", F.col("level").alias("pooled"), F.col("code").cast("int").alias("code"))
+
+
+CAT = list(ORDERS.spec.cat)
+
+
+@query("encoded_rows", SPLIT_SQL + "".join(f"""
+, n_{c} AS (SELECT coalesce(CAST({c} AS VARCHAR), '{MISSING}') AS lv, count(*) AS n FROM train GROUP BY 1),
+k_{c} AS (SELECT lv, CAST(dense_rank() OVER (ORDER BY lv) - 1 AS BIGINT) AS code
+          FROM (SELECT DISTINCT CASE WHEN n >= {MIN_FREQ} THEN lv ELSE '{INFREQUENT}' END AS lv FROM n_{c})),
+o_{c} AS (SELECT coalesce(max(CASE WHEN lv = '{INFREQUENT}' THEN code END), count(*)) AS other FROM k_{c})""" for c in CAT) + """
+SELECT h.row_id, """ + ", ".join(f"coalesce(k_{c}.code, o_{c}.other) AS {c}" for c in CAT) + """,
+       CAST(""" + " + ".join(f"h.{b}" for b in ORDERS.spec.bin) + """ AS BIGINT) AS flags
+FROM hs h""" + "".join(f" LEFT JOIN k_{c} ON coalesce(CAST(h.{c} AS VARCHAR), '{MISSING}') = k_{c}.lv"
+                       for c in CAT) + "".join(f" CROSS JOIN o_{c}" for c in CAT))
+def encoded_rows(spark, sf_dir):
+    """every row's codes and flags read back from the product's own one-hot vector."""
+    d = split_clean(spark, sf_dir)
+    fp = TabularPrep(ORDERS.spec, MIN_FREQ, onehot=True).fit(d.where(F.col("split") == "train"))
+    v = fp.transform(d).select("row_id", vector_to_array("features").alias("v"))
+    at = len(NUM)
+    flags = F.aggregate(F.slice("v", at + 1, len(ORDERS.spec.bin)), F.lit(0.0), lambda s, x: s + x)
+    at += len(ORDERS.spec.bin)
+    codes = []
+    for c in CAT:
+        w = fp.levels.width(c)
+        codes.append((F.array_position(F.slice("v", at + 1, w), 1.0) - 1).alias(c))
+        at += w
+    return v.select("row_id", *codes, flags.cast("bigint").alias("flags"))
 
 
 @query("assemble_features")

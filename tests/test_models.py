@@ -62,6 +62,16 @@ def test_silhouettes_match_brute_force(points):
         silhouette_sample(df, "v", "k", max_rows=100)
 
 
+def test_silhouette_by_blocks_is_that_of_one_block(spark, points):
+    df, v, lab = points
+    d = np.sqrt(((v[:, None] - v[None]) ** 2).sum(-1))
+    for rows in (7, 64):
+        got = silhouette_sample(df, "v", "k", block_rows=rows).first()
+        assert got["n"] == len(v) and got["silhouette"] == pytest.approx(brute_silhouette(d, lab), abs=1e-9)
+    empty = silhouette_sample(df.limit(0), "v", "k").first()
+    assert empty["n"] == 0 and empty["silhouette"] is None
+
+
 def test_kmeans_cost_falls_with_k_and_is_that_of_its_assignment(points):
     df, v, _ = points
     costs = []
