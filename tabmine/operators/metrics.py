@@ -163,3 +163,18 @@ def metric_deltas(board: DataFrame, pairs: Sequence[tuple[str, str]], metrics: S
     b = lg.select(F.col(key).alias("b"), "metric", F.col("value").alias("vb"))
     j = pr.join(a, "a").join(b, ["b", "metric"])
     return j.select("a", "b", "metric", F.round(F.col("va") - F.col("vb"), ndigits).alias("delta"))
+
+
+def cv_test_gap(cv: DataFrame, test: DataFrame, metrics: Sequence[str], key: str = "model", ndigits: int = 6) -> DataFrame:
+    """(model, metric, folds, cv_mean, test, gap): the folds' mean less the hold-out's value.
+
+    ``cv`` has a row per model and fold, ``test`` one per model. A fold without
+    the metric (one class only) does not count; a model that one side lacks has
+    null there and in its gap.
+    """
+    long = lambda d: d.select(key, *[F.col(m).cast("double").alias(m) for m in metrics]).unpivot(
+        [key], list(metrics), "metric", "value")
+    folds = long(cv).groupBy(key, "metric").agg(F.count("value").alias("folds"), F.round(F.avg("value"), ndigits).alias("cv_mean"))
+    j = folds.join(long(test).withColumnRenamed("value", "test"), [key, "metric"], "full")
+    return j.select(key, "metric", F.coalesce("folds", F.lit(0)).cast("bigint").alias("folds"), "cv_mean", "test",
+                    F.round(F.col("cv_mean") - F.col("test"), ndigits).alias("gap"))

@@ -10,6 +10,7 @@ from tabmine.operators.cluster import (as_vector, assign_fixed, kmeans_best, lab
                                        segment_profiles, silhouette_all, silhouette_sample, standardized_matrix,
                                        sweep)
 from tabmine.operators.split import sample_n
+from tabmine.plans import sql
 from tabmine.plans.registry import query
 from tabmine.session import materialize
 from tabmine.sources.views import orders_review, table
@@ -45,6 +46,30 @@ def kmeans_profiles(spark, sf_dir):
     return segment_profiles(m.transform(x))
 
 
+#: Given centres of three segments in (points, desc_words).
+CENTRES = [(0, [83.0, 4.0]), (1, [89.0, 6.0]), (2, [96.0, 5.0])]
+_D2 = [f"(points - {x}) * (points - {x}) + (desc_words - {y}) * (desc_words - {y})" for _, (x, y) in CENTRES]
+_TOPS = "".join(f""",
+n_{c} AS (SELECT cluster, {c} AS top, count(*) AS n FROM seg WHERE {c} IS NOT NULL GROUP BY ALL),
+t_{c} AS (SELECT cluster, top AS {c}_top FROM (SELECT *, row_number() OVER (PARTITION BY cluster ORDER BY n DESC, top) AS rn
+          FROM n_{c}) WHERE rn = 1)""" for c in ("country", "variety"))
+
+
+@query("segment_profiles_fixed", sql.orders(sql.CLEAN_SQL) + f"""
+, d AS (SELECT *, {", ".join(f"{d} AS d{i}" for i, d in enumerate(_D2))} FROM clean),
+seg AS (SELECT *, CASE WHEN d0 <= d1 AND d0 <= d2 THEN 0 WHEN d1 <= d2 THEN 1 ELSE 2 END AS cluster FROM d){_TOPS},
+m AS (SELECT cluster, CAST(count(*) AS BIGINT) AS n, round(avg(points), 6) AS points, round(avg(age), 6) AS age,
+             round(avg(desc_words), 6) AS desc_words, round(avg(high_quality), 6) AS high_quality,
+             round(100.0 * count(*) / (SELECT count(*) FROM seg), 1) AS share_pct,
+             round(quantile_cont(price, 0.5), 6) AS price_median FROM seg GROUP BY cluster)
+SELECT * FROM m LEFT JOIN t_country USING (cluster) LEFT JOIN t_variety USING (cluster)""")
+def segment_profiles_fixed(spark, sf_dir):
+    """K5, A8-A10 on segments anybody can repeat: the nearest of given centres (ties: the first)."""
+    t = clean_reviews(orders_review(spark, sf_dir), ORDERS).table
+    seg = assign_fixed(t.withColumn("_at", F.array(*[F.col(c).cast("double") for c in ("points", "desc_words")])), "_at", CENTRES)
+    return segment_profiles(materialize(seg, "segments"), ndigits=6)
+
+
 @query("pca_2d")
 def pca_2d_q(spark, sf_dir):
     """K6: explained-variance ratio of two components and the spread of all

@@ -5,14 +5,16 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tabmine.operators.metrics import (average_precision, binary_metrics, calibration,
-                                       calibration_edges, confusion, curve_points, leaderboard,
+                                       calibration_edges, confusion, curve_points, cv_test_gap, leaderboard,
                                        metric_deltas, operating_points, roc_auc)
 from tabmine.operators.bucket_boot import bucket_ci, bucket_paired
 from tabmine.operators.explain import importance, permutation_keys
 from tabmine.operators.resample import bootstrap_ci, bootstrap_paired
 from tabmine.operators.slices import boundary_error_share, error_by, error_by_band, error_when
+from tabmine.operators.split import holdout_split, kfold_assign
 from tabmine.plans import sql
 from tabmine.plans.registry import query
+from tabmine.session import materialize
 from tabmine.sources.views import orders_review, scored
 from tabmine.spec import ORDERS
 
@@ -112,6 +114,37 @@ def metric_deltas_q(spark, sf_dir):
     return metric_deltas(lb, [("mixed", "price_only")], ["accuracy", "f1", "roc_auc"])
 
 
+GAP_METRICS = ["accuracy", "brier", "roc_auc"]
+
+
+@query("cv_test_gap", sql.scores() + """
+, hs AS (SELECT row_id, y, substr(md5(concat_ws('-', row_id, 42)), 1, 13) AS h,
+                row_number() OVER (PARTITION BY y ORDER BY substr(md5(concat_ws('-', row_id, 42)), 1, 13), row_id) AS pos,
+                count(*) OVER (PARTITION BY y) AS nc FROM scored WHERE model = 'mixed'),
+parts AS (SELECT row_id, 'test' AS part FROM hs WHERE pos <= ceil(0.2 * nc) UNION ALL
+          SELECT row_id, CAST((row_number() OVER (PARTITION BY y ORDER BY h, row_id) - 1) % 5 AS VARCHAR) AS part
+          FROM hs WHERE pos > ceil(0.2 * nc)),
+g AS (SELECT s.model, part, y, p FROM scored s JOIN parts USING (row_id)),
+sa AS (SELECT model, part, p, CAST(sum(y) AS DOUBLE) AS pos, CAST(sum(1 - y) AS DOUBLE) AS neg FROM g GROUP BY ALL),
+cum AS (SELECT *, coalesce(sum(neg) OVER (PARTITION BY model, part ORDER BY p ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS nb FROM sa),
+au AS (SELECT model, part, round(sum(pos * (nb + 0.5 * neg)) / (sum(pos) * sum(neg)), 6) AS roc_auc FROM cum GROUP BY ALL),
+ot AS (SELECT model, part, round(avg(CAST((p >= 0.5) = (y = 1) AS DOUBLE)), 6) AS accuracy,
+              round(avg((p - y) * (p - y)), 6) AS brier FROM g GROUP BY ALL),
+lg AS (UNPIVOT (SELECT * FROM ot JOIN au USING (model, part)) ON accuracy, brier, roc_auc INTO NAME metric VALUE value),
+f AS (SELECT model, metric, CAST(count(*) AS BIGINT) AS folds, round(avg(value), 6) AS cv_mean
+      FROM lg WHERE part <> 'test' GROUP BY ALL)
+SELECT model, metric, folds, cv_mean, value AS test, round(cv_mean - value, 6) AS gap
+FROM f JOIN (SELECT model, metric, value FROM lg WHERE part = 'test') USING (model, metric)""")
+def cv_test_gap_q(spark, sf_dir):
+    """Five folds of the training rows against the hold-out, per model and metric."""
+    s = scored(spark, sf_dir).select("model", "row_id", "y", "p")
+    split = materialize(holdout_split(s.where("model = 'mixed'").select("row_id", "y"), "y", 0.2, ORDERS.seed), "gap-split")
+    folds = kfold_assign(split.where("split = 'train'").select("row_id", "y"), "y", 5, ORDERS.seed)
+    part = split.where("split = 'test'").select("row_id", "split").unionAll(folds.select("row_id", F.col("fold").cast("string")))
+    board = materialize(leaderboard(s.join(part.withColumnRenamed("split", "part"), "row_id"), ("model", "part")), "gap-board")
+    return cv_test_gap(board.where("part <> 'test'"), board.where("part = 'test'"), GAP_METRICS)
+
+
 @query("confusion", sql.scores() + COUNTS_SQL + """
 SELECT model, y, pred, CAST(n AS BIGINT) AS n FROM (
   SELECT model, 0 AS y, 0 AS pred, tn AS n FROM k UNION ALL SELECT model, 0, 1, fp FROM k

@@ -2,7 +2,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from fixtures import scores_df
-from tabmine.operators.metrics import (average_precision, binary_metrics, calibration, confusion,
+from tabmine.operators.metrics import (average_precision, binary_metrics, calibration, confusion, cv_test_gap,
                                        curve_points, roc_auc)
 from tabmine.operators.resample import bootstrap_ci
 
@@ -53,3 +53,10 @@ def test_bootstrap_interval_contains_estimate(spark):
         ci = {r["metric"]: r for r in bootstrap_ci(s, B=60, seed=7, mode=mode).collect()}
         assert ci["roc_auc"]["lo"] <= 0.84375 <= ci["roc_auc"]["hi"]
         assert ci["f1"]["lo"] <= ci["f1"]["hi"]
+
+
+def test_cv_test_gap_counts_folds_and_keeps_one_sided_models(spark):
+    cv = spark.createDataFrame([("a", 0.5), ("a", 0.7), ("a", None), ("b", 0.9)], "model string, roc_auc double")
+    test = spark.createDataFrame([("a", 0.55), ("c", 0.4)], "model string, roc_auc double")
+    got = {r.model: (r.folds, r.cv_mean, r.test, r.gap) for r in cv_test_gap(cv, test, ["roc_auc"]).collect()}
+    assert got == {"a": (2, 0.6, 0.55, 0.05), "b": (1, 0.9, None, None), "c": (0, None, 0.4, None)}
