@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tabmine.llm.common import BLANKS, ascii_lower, digest128, stage, text_of
+from tabmine.llm.common import BLANKS, ascii_lower, digest128, small, stage, text_of
 
 
 def line_key(line: Column) -> Column:
@@ -29,27 +29,34 @@ def dedup_lines(docs: DataFrame, text_col: str = "text", min_docs: int = 10, min
 
     A text's md5 is its key. Counting shuffles keys only, combined before the
     shuffle, so a line found in a third of all documents is one row per task.
-    Texts are shuffled once, to meet their hot keys; the keys' side has one row
-    per text, so Spark can split the partition of a text with many copies.
+    Lines meet the hot keys (broadcast while their counted bytes are few), and
+    a text's dropped positions are collected as a set, once whatever its copies.
+    Texts are shuffled once, to meet their positions; that side has one row per
+    text, so Spark can split the partition of a text with many copies. What lies
+    between dropped positions is sliced out: linear in a text's lines.
     """
     docs = docs.drop("n_lines", "n_dropped")
-    keys = F.array_distinct(F.transform(F.split(text_of(text_col), "\n"), line_key))
+    lines = F.transform(F.split(text_of(text_col), "\n"), line_key)
     # two steps, or the text would be carried along with each of its lines
-    keyed = docs.select(digest128(text_of(text_col)).alias("__t"), keys.alias("__keys"))
-    pairs = stage(keyed.select("__t", F.explode("__keys").alias("__k"))
-                  .filter(F.char_length("__k") >= min_chars)
-                  .select("__t", digest128(F.col("__k")).alias("__k")), "line-keys")
-    hot = stage(pairs.groupBy("__k").agg(F.count("*").alias("__n")).filter(F.col("__n") >= min_docs)
-                .select("__k"), "line-hot")
-    hit = stage(pairs.join(hot, "__k", "left_semi")
-                .groupBy("__t").agg(F.collect_set("__k").alias("__hot")), "line-docs")
+    keys = docs.select(F.array_distinct(lines).alias("__keys")).select(F.explode("__keys").alias("__k"))
+    long_enough = F.char_length("__k") >= min_chars
+    hot = stage(keys.filter(long_enough).groupBy(digest128(F.col("__k")).alias("__k")).agg(F.count("*").alias("__n"))
+                .filter(F.col("__n") >= min_docs).select("__k"), "line-hot")
+    at = (docs.select(digest128(text_of(text_col)).alias("__t"), lines.alias("__keys"))
+          .select("__t", F.posexplode("__keys").alias("__i", "__k")).filter(long_enough)
+          .select("__t", "__i", digest128(F.col("__k")).alias("__k")))
+    hit = stage(at.join(small(hot, 32), "__k", "left_semi")
+                .groupBy("__t").agg(F.sort_array(F.collect_set("__i")).alias("__at")), "line-docs")
     rows = (docs.withColumn("__t", digest128(text_of(text_col)))
             .withColumn("__lines", F.split(text_of(text_col), "\n"))
             .join(hit, "__t", "left"))
-    kept = F.filter("__lines", lambda x: ~F.array_contains("__hot", digest128(line_key(x))))
-    rows = rows.withColumn("__kept", F.when(F.col("__hot").isNull(), F.col("__lines")).otherwise(kept))
+    # runs of kept lines: from after one dropped position (or the start) to the next (or the end)
+    after = F.concat(F.array(F.lit(-1)), F.col("__at"))
+    upto = F.concat(F.col("__at"), F.array(F.size("__lines")))
+    kept = F.flatten(F.zip_with(after, upto, lambda a, b: F.slice(F.col("__lines"), a + 2, b - a - 1)))
+    rows = rows.withColumn("__kept", F.when(F.col("__at").isNull(), F.col("__lines")).otherwise(kept))
     return (rows
             .withColumn("n_lines", F.size("__lines").cast("long"))
             .withColumn("n_dropped", (F.size("__lines") - F.size("__kept")).cast("long"))
             .withColumn(text_col, F.when(F.col(text_col).isNotNull(), F.concat_ws("\n", "__kept")))
-            .drop("__t", "__lines", "__hot", "__kept"))
+            .drop("__t", "__lines", "__at", "__kept"))

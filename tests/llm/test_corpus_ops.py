@@ -6,6 +6,7 @@ import hashlib
 import math
 import random
 import re
+import time
 import zlib
 from fractions import Fraction
 
@@ -41,6 +42,25 @@ def test_lines(spark):
     assert line_dedup.dedup_lines(docs_of(spark, [])).count() == 0
 
 
+def test_many_hot_lines_in_one_text_take_linear_time(spark):
+    rng = random.Random(5)
+    shared = [f"shared {i}" for i in range(16_000)]
+    texts = []
+    for i in range(12):
+        lines = [x for x in shared]
+        rng.shuffle(lines)
+        for j in range(0, 16_000, 7):
+            lines[j] = lines[j].upper() if j % 2 else f"own {i} {j}"
+        texts.append((i, "\n".join(lines)))
+    seen = collections.Counter(k for _, t in texts for k in {x.strip(" \t\n\x0b\x0c\r").lower() for x in t.split("\n")})
+    start = time.time()
+    got = {r.doc_id: (r.text, r.n_lines, r.n_dropped) for r in line_dedup.dedup_lines(docs_of(spark, texts)).collect()}
+    assert time.time() - start < 30  # quadratic: far more
+    for i, t in texts:
+        kept = [x for x in t.split("\n") if seen[x.strip().lower()] < 10]
+        assert got[i] == ("\n".join(kept), 16_000, 16_000 - len(kept))
+
+
 # --- exact dedup
 
 @pytest.mark.parametrize("short", [False, True])  # True: a digest of one hex digit, so that different texts collide
