@@ -27,7 +27,7 @@ def dedup_lines(docs: DataFrame, text_col: str = "text", min_docs: int = 10, min
     line; a text whose lines all go becomes empty; an empty table gives an
     empty result; input columns named like a result column are replaced.
 
-    A text's md5 is its key. Counting shuffles keys only, combined before the
+    A text's md5 is its key; its lines' keys are worked out once and staged. Counting shuffles keys only, combined before the
     shuffle, so a line found in a third of all documents is one row per task.
     Lines meet the hot keys (broadcast while their counted bytes are few), and
     a text's dropped positions are collected as a set, once whatever its copies.
@@ -36,15 +36,12 @@ def dedup_lines(docs: DataFrame, text_col: str = "text", min_docs: int = 10, min
     between dropped positions is sliced out: linear in a text's lines.
     """
     docs = docs.drop("n_lines", "n_dropped")
-    lines = F.transform(F.split(text_of(text_col), "\n"), line_key)
-    # two steps, or the text would be carried along with each of its lines
-    keys = docs.select(F.array_distinct(lines).alias("__keys")).select(F.explode("__keys").alias("__k"))
-    long_enough = F.char_length("__k") >= min_chars
-    hot = stage(keys.filter(long_enough).groupBy(digest128(F.col("__k")).alias("__k")).agg(F.count("*").alias("__n"))
-                .filter(F.col("__n") >= min_docs).select("__k"), "line-hot")
-    at = (docs.select(digest128(text_of(text_col)).alias("__t"), lines.alias("__keys"))
-          .select("__t", F.posexplode("__keys").alias("__i", "__k")).filter(long_enough)
-          .select("__t", "__i", digest128(F.col("__k")).alias("__k")))
+    key = lambda x: F.when(F.char_length(x) >= min_chars, digest128(x))
+    keys = F.transform(F.transform(F.split(text_of(text_col), "\n"), line_key), key)  # null where too short
+    keyed = stage(docs.select(digest128(text_of(text_col)).alias("__t"), keys.alias("__keys")), "line-keys")
+    hot = stage(keyed.select(F.explode(F.array_distinct("__keys")).alias("__k")).filter("__k IS NOT NULL")
+                .groupBy("__k").agg(F.count("*").alias("__n")).filter(F.col("__n") >= min_docs).select("__k"), "line-hot")
+    at = keyed.select("__t", F.posexplode("__keys").alias("__i", "__k")).filter("__k IS NOT NULL")
     hit = stage(at.join(small(hot, 32), "__k", "left_semi")
                 .groupBy("__t").agg(F.sort_array(F.collect_set("__i")).alias("__at")), "line-docs")
     rows = (docs.withColumn("__t", digest128(text_of(text_col)))
