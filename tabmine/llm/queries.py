@@ -182,8 +182,9 @@ def op10_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = pii_bootstrap.find_personal_data(table(spark, sf_dir, "documents").select("doc_id", "text"))
-    n = [F.size(F.filter("base", lambda s, k=k: s["kind"] == k)).cast("long").alias(f"n_{name}")
-         for k, name in enumerate(pii_bootstrap.KINDS)]
+    def count(k: int):  # a second parameter of the lambda would be the place in the array
+        return F.size(F.filter("base", lambda s: s["kind"] == k)).cast("long")
+    n = [count(k).alias(f"n_{name}") for k, name in enumerate(pii_bootstrap.KINDS)]
     return out.select("doc_id", *n, hex_sha(pii_bootstrap.written(F.col("base"))).alias("base_sha256"),
                       pii_bootstrap.written(F.col("spans")).alias("spans"),
                       (F.size("spans") - F.size("base")).cast("long").alias("n_discovered"))
