@@ -2,9 +2,9 @@
 
 ``mode="exact"`` reproduces "B resamples of size n with replacement": draw
 ``i`` of replicate ``r`` picks row ``md5(r-i-seed) mod n`` of a dense row
-index. Draws are generated with ``spark.range(B*n)``, pre-aggregated to
-(rep, row, multiplicity) and joined to the scores once; all replicate
-metrics then come from one weighted grouped pass (``groups = rep, model``).
+index. Draws are generated with ``spark.range(B*n)``, packed, and counted by
+blocks of rows (``draw_boot``): a row of a shuffle holds thousands of draws, or
+one score's B counts.
 
 ``mode="poisson"`` (the scalable default for very large n) gives each
 (row, rep) an independent Poisson(1) multiplicity from a hash — no draw
@@ -67,6 +67,17 @@ def replicate_weights(scores: DataFrame, B: int, seed: int = 42, id_col: str = "
     return rows.join(draws, "idx").drop("idx")
 
 
+def replicate_metrics(scores: DataFrame, B: int, seed: int, model_col: str, id_col: str, mode: str) -> DataFrame:
+    """(rep, model, roc_auc, f1) of each replicate."""
+    if mode == "exact":
+        from tabmine.operators.draw_boot import exact_replicates  # it builds on this module
+        return materialize(exact_replicates(scores, B, seed, model_col, id_col), "boot-metrics")
+    rw = replicate_weights(scores, B, seed, id_col, mode)
+    g = ["rep", model_col]
+    auc = roc_auc(rw, g, ndigits=None, cum=score_cumulatives(rw, g, weight="w"))
+    return auc.join(binary_metrics(rw, g, ndigits=None, weight="w").select(*g, "f1"), g)
+
+
 def _interval(vals: DataFrame, groups: Sequence[str], metric: str, alpha: float, ndigits: int) -> DataFrame:
     # B values per group: no value bucketing needed (parts=1)
     q = exact_quantiles(vals, metric, [alpha / 2, 1 - alpha / 2], groups, parts=1)
@@ -82,11 +93,8 @@ def bootstrap_ci(scores: DataFrame, B: int = 300, seed: int = 42, alpha: float =
 
     Columns: model, metric, lo, hi.
     """
-    rw = replicate_weights(scores, B, seed, id_col, mode)
     g = ["rep", model_col]
-    auc = roc_auc(rw, g, ndigits=None, cum=score_cumulatives(rw, g, weight="w"))
-    f1 = binary_metrics(rw, g, ndigits=None, weight="w").select(*g, "f1")
-    per_rep = auc.join(f1, g).unpivot(g, ["roc_auc", "f1"], "metric", "value")
+    per_rep = replicate_metrics(scores, B, seed, model_col, id_col, mode).unpivot(g, ["roc_auc", "f1"], "metric", "value")
     return _interval(per_rep, [model_col, "metric"], "value", alpha, ndigits)
 
 
@@ -98,9 +106,7 @@ def bootstrap_paired(scores: DataFrame, model_a: str, model_b: str, B: int = 300
     Columns: model_a, model_b, lo, hi.
     """
     s = scores.where(F.col(model_col).isin(model_a, model_b))
-    rw = replicate_weights(s, B, seed, id_col, mode)
-    g = ["rep", model_col]
-    auc = roc_auc(rw, g, ndigits=None, cum=score_cumulatives(rw, g, weight="w"))
+    auc = replicate_metrics(s, B, seed, model_col, id_col, mode)
     diff = auc.groupBy("rep").agg(
         (F.max(F.when(F.col(model_col) == model_a, F.col("roc_auc")))
          - F.max(F.when(F.col(model_col) == model_b, F.col("roc_auc")))).alias("d"))
