@@ -8,6 +8,7 @@ and every range works out its part of all B areas (``bucket_boot``).
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -15,7 +16,6 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tabmine.functions.hashing import hash_int
 from tabmine.operators.bucket_boot import TOTALS, _Area
 from tabmine.operators.ranks import _bucket_of, default_parts, value_cuts
 from tabmine.operators.resample import dense_index
@@ -25,8 +25,56 @@ from tabmine.session import materialize
 CELLS, PACK, TASK = 1 << 21, 1 << 22, 1 << 24
 
 
-def _pack(cells: int):
-    """Draw numbers to (block, at): the 32-bit places in a block of ``cells`` numbers."""
+#: MD5's fixed values: start, added constants, rotations of the four rounds.
+START = (0x67452301, 0xEFCDAB89, 0x98BADCFE, 0x10325476)
+SINES = [int(abs(math.sin(i + 1)) * (1 << 32)) for i in range(64)]
+TURNS = ((7, 12, 17, 22), (5, 9, 14, 20), (4, 11, 16, 23), (6, 10, 15, 21))
+
+
+def _first_word(message: np.ndarray) -> np.ndarray:
+    """The first 32 bits of the MD5 of each row of ``message``, 64 padded bytes."""
+    words = np.ascontiguousarray(message.view("<u4").T)
+    a, b, c, d = (np.full(len(message), x, np.uint32) for x in START)
+    for i in range(64):
+        if i < 16:
+            f, g = d ^ (b & (c ^ d)), i
+        elif i < 32:
+            f, g = c ^ (d & (b ^ c)), (5 * i + 1) % 16
+        elif i < 48:
+            f, g = b ^ c ^ d, (3 * i + 5) % 16
+        else:
+            f, g = c ^ (b | ~d), 7 * i % 16
+        f = f + a + np.uint32(SINES[i]) + words[g]
+        turn = TURNS[i // 16][i % 4]
+        a, d, c, b = d, c, b, b + (f << np.uint32(turn) | f >> np.uint32(32 - turn))
+    return (a + np.uint32(START[0])).byteswap()
+
+
+def hashed(rep: np.ndarray, i: np.ndarray, seed: int) -> np.ndarray:
+    """``hash_int(rep, i, seed)`` of a batch: the first 8 hex digits of md5(rep-i-seed)."""
+    out, tail = np.empty(len(rep), np.int64), f"-{seed}".encode()
+    tens = 10 ** np.arange(1, 19, dtype=np.int64)
+    digits = np.searchsorted(tens, rep, side="right") + 1, np.searchsorted(tens, i, side="right") + 1
+    for code in np.unique(digits[0] * 32 + digits[1]).tolist():
+        at = np.flatnonzero(digits[0] * 32 + digits[1] == code)
+        x, buf, end = (rep[at], i[at]), np.zeros((len(at), 64), np.uint8), 0
+        for k, length in enumerate(divmod(code, 32)):
+            for j in range(length):
+                buf[:, end + j] = x[k] // 10 ** (length - 1 - j) % 10 + 48
+            end += length
+            if not k:
+                buf[:, end] = 45
+                end += 1
+        buf[:, end:end + len(tail)] = np.frombuffer(tail, np.uint8)
+        end += len(tail)
+        buf[:, end] = 128
+        buf[:, 56:58] = end * 8 % 256, end * 8 // 256
+        out[at] = _first_word(buf)
+    return out
+
+
+def _pack(cells: int, n: int, reps: int, seed: int):
+    """Numbers r * n + i to (block, at): draw i of replicate r as a 32-bit place in a block of ``cells`` numbers."""
 
     def emit(held: list[np.ndarray]) -> pa.RecordBatch:
         x = np.concatenate(held)
@@ -38,14 +86,15 @@ def _pack(cells: int):
             [p.tobytes() for p in np.split(at, first[1:])], pa.binary())})
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, n = [], 0
+        held, count = [], 0
         for batch in batches:
-            held.append(batch.column(0).to_numpy())
-            n += len(held[-1])
-            if n >= PACK:
+            rep, i = np.divmod(batch.column(0).to_numpy(), n)
+            held.append(hashed(rep, i, seed) % n * reps + rep)
+            count += len(rep)
+            if count >= PACK:
                 yield emit(held)
-                held, n = [], 0
-        if n:
+                held, count = [], 0
+        if count:
             yield emit(held)
     return run
 
@@ -130,9 +179,7 @@ def exact_replicates(scores: DataFrame, B: int, seed: int = 42, model_col: str =
     rows = materialize(rows, "boot-index")
     kind = rows.schema["model"].dataType.simpleString()
     tasks = max(default_parts(rows), -(-B * n // TASK))
-    draws = spark.range(0, B * n, 1, tasks).select(F.expr(f"id div {max(n, 1)}").alias("rep"), F.expr(f"id % {max(n, 1)}").alias("i"))
-    draws = draws.select((hash_int(F.col("rep"), F.col("i"), F.lit(seed)) % F.lit(max(n, 1)) * B + F.col("rep")).alias("cell"))
-    draws = draws.mapInArrow(_pack(size * B), "block long, at binary")
+    draws = spark.range(0, B * n, 1, tasks).mapInArrow(_pack(size * B, n, B, seed), "block long, at binary")
     counts = draws.groupBy("block").cogroup(rows.groupBy("block")).applyInArrow(
         _block_counts(size, B), f"model {kind}, p double, y int, w binary")
     parts = default_parts(rows)

@@ -1,5 +1,7 @@
+import hashlib
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -25,9 +27,17 @@ def test_blocks_count_what_the_joined_draws_count(spark, monkeypatch, cells):
     assert {k: v for k, v in got.items() if v != (None, None)} == want
 
 
+def test_hashes_are_those_of_md5():
+    rep = np.array([0, 9, 10, 299, 100000, 7, 2147483647])
+    i = np.array([0, 10, 9, 8_999_999, 53_999_999, 10 ** 18, 9 * 10 ** 18])
+    for seed in (42, 0, -7, 2 ** 62):
+        assert draw_boot.hashed(rep, i, seed).tolist() == [
+            int(hashlib.md5(f"{a}-{b}-{seed}".encode()).hexdigest()[:8], 16) for a, b in zip(rep, i)]
+
+
 def test_no_row_of_a_shuffle_is_a_draw(spark):
-    """300 replicates of 2 000 rows, 600 000 draws, go to 300 replicates' blocks in a few packed rows."""
+    """600 000 draws, 300 of 2 000 rows, go to their one block of rows in a few packed rows."""
     cells = draw_boot.CELLS // 300 * 300
-    packed = spark.range(0, 600_000, 1, 2).select(F.col("id").alias("cell")).mapInArrow(draw_boot._pack(cells), "block long, at binary")
+    packed = spark.range(0, 600_000, 1, 2).mapInArrow(draw_boot._pack(cells, 2000, 300, 42), "block long, at binary")
     assert packed.count() <= 4
     assert packed.agg(F.sum(F.octet_length("at"))).first()[0] == 4 * 600_000
