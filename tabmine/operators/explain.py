@@ -62,7 +62,8 @@ def permuted_rows(rows: DataFrame, features: Sequence[str], repeats: int, seed:
     every = rows.select("*", F.inline(copies)).withColumn("_donor", permuted_index(F.col("_i"), n, F.col("_keys")))
     given = rows.select(F.col("_i").alias("_donor"), F.struct(*features).alias("_v"))
     moved = {f: F.when(F.col("feature") == f, F.col(f"_v.{f}")).otherwise(F.col(f)) for f in features}
-    return every.join(given, "_donor").withColumns(moved).drop("_donor", "_i", "_keys", "_v")
+    # a row for each row: a table this long is never sent through the driver, small as its files may be
+    return every.join(given.hint("merge"), "_donor").withColumns(moved).drop("_donor", "_i", "_keys", "_v")
 
 
 def importance(rows: DataFrame, score: Callable[[DataFrame], DataFrame], features: Sequence[str], repeats: int = 5,

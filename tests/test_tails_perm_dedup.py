@@ -97,3 +97,13 @@ def test_dedup_tells_equal_digests_apart(spark, monkeypatch):
     assert clean.dedup_first(df.limit(0), ["t", "u"]).count() == 0
     nums = spark.createDataFrame([(1, 1, 12), (2, 11, 2), (3, 1, 12)], "row_id long, a int, b int")
     assert {r.row_id for r in clean.dedup_first(nums, ["a", "b"]).collect()} == {1, 2}
+
+
+def test_donors_are_joined_by_a_shuffle_however_small_their_files(spark):
+    from tabmine.operators.explain import permuted_rows
+    rows = spark.createDataFrame([(i, i % 3, i % 2) for i in range(50)], "row_id long, a int, y int")
+    out = permuted_rows(rows, ["a"], 2, 42, "row_id")
+    assert "Broadcast" not in out._jdf.queryExecution().executedPlan().toString()
+    for rep in range(2):
+        part = out.where(f"rep = {rep}").collect()
+        assert sorted(r.row_id for r in part) == list(range(50)) and sorted(r.a for r in part) == sorted(i % 3 for i in range(50))
