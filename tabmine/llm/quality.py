@@ -14,6 +14,7 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -30,11 +31,15 @@ SLOTS = WORD_SLOTS + SHAPES
 TWICE = WORD_SLOTS + SHAPES - 1
 LETTER = re.compile(rb"[A-Za-z\x80-\xff]")
 SYMBOL_TAIL = re.compile(rb"[^A-Za-z0-9\x80-\xff]{2,}$")
+MARKS = frozenset([b".", b",", b";", b":", b"!", b"?"])
 EDGE = re.compile(rb"^[^A-Za-z0-9\x80-\xff]+|[^A-Za-z0-9\x80-\xff]+$")
 
 
 def slot_of(token: bytes) -> int:
     """A shape's slot, or a word's by its hash."""
+    plain = token[:-1] if token[-1:] in MARKS else token
+    if plain.isalpha():  # ASCII letters, a mark behind them at most: what the rules below come to
+        return WORD_SLOTS + 5 if len(plain) > 1 and plain.isupper() else xxhash.xxh64_intdigest(plain.lower()) % WORD_SLOTS
     if not LETTER.search(token):
         if not re.search(rb"[0-9]", token):
             return WORD_SLOTS + (0 if len(token) == 1 else 1)
@@ -77,7 +82,7 @@ def slots_of(texts: list[bytes], known: Slots) -> tuple[np.ndarray, np.ndarray]:
     """Slots of all tokens in one array, and how many each text has."""
     parts = [t.split() for t in texts]
     n = np.array([len(p) for p in parts])
-    out = np.fromiter((known[x] for p in parts for x in p), np.int64, n.sum())
+    out = np.fromiter(map(known.__getitem__, chain.from_iterable(parts)), np.int64, n.sum())
     if len(out):
         same = np.concatenate([[False], out[1:] == out[:-1]])
         first = np.cumsum(n)[:-1]
@@ -130,7 +135,8 @@ def word_vectors(docs: DataFrame, text_col: str) -> tuple[np.ndarray, np.ndarray
 def pooled(texts: list[bytes], known: Slots, vectors: np.ndarray, weight: np.ndarray) -> np.ndarray:
     """A row per text: weighted mean of its slots' vectors, log length, share of each shape."""
     out = np.zeros((len(texts), vectors.shape[1] + 1 + SHAPES))
-    for a, b in shares(texts, 1 << 19):
+    weighted = vectors * weight[:, None]
+    for a, b in shares(texts, 1 << 16):  # a share's token vectors fit the cache
         s, n = slots_of(texts[a:b], known)
         own = np.flatnonzero(n) + a
         out[a:b, vectors.shape[1]] = np.log1p(n) / 10
@@ -138,7 +144,7 @@ def pooled(texts: list[bytes], known: Slots, vectors: np.ndarray, weight: np.nda
             continue
         start = np.concatenate([[0], np.cumsum(n[own - a])[:-1]])
         w = weight[s]
-        out[own, :vectors.shape[1]] = (np.add.reduceat(vectors[s] * w[:, None], start)
+        out[own, :vectors.shape[1]] = (np.add.reduceat(weighted[s], start)
                                        / np.add.reduceat(w, start)[:, None])
         shape = np.bincount(np.repeat(own - a, n[own - a]) * SHAPES + np.maximum(s - WORD_SLOTS, 0),
                             s >= WORD_SLOTS, (b - a) * SHAPES).reshape(-1, SHAPES)
