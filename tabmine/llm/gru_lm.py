@@ -31,6 +31,8 @@ END = b"\n"
 #: Tokens with at least this share of all training tokens are sent to every task: at most 2^20 of them.
 HOT_SHARE = 1 << 20
 ALPHA = 0.1
+#: Text laid out in lanes at once: enough that the longest text doesn't outlast all others, and lanes stay full.
+LAID_BYTES = 1 << 24
 
 
 def tokens(text: bytes) -> list[bytes]:
@@ -127,61 +129,91 @@ class Gru:
             at += v.size
         return self
 
+    def view(self, flat: np.ndarray) -> None:
+        """Parameters become views of ``flat``."""
+        at = 0
+        for n, v in self.p.items():
+            self.p[n] = flat[at:at + v.size].reshape(v.shape)
+            at += v.size
+
     def steps(self, x: np.ndarray, first: np.ndarray, h: np.ndarray) -> list[tuple]:
         """States of a window; x, first: (time, lanes). Each entry: h before, z, r, n, h u_n, h after."""
         p, d, out = self.p, self.hidden, []
         table = p["x"] + p["b"]
+        table[:, :2 * d] *= 0.5  # a sigmoid is a tanh of half its argument
+        u = p["u"].copy()
+        u[:, :2 * d] *= 0.5
+        a, begin = table[x], first.any(axis=1)
         for t in range(len(x)):
-            h = np.where(first[t][:, None], np.float32(0), h)
-            a, g = table[x[t]], h @ p["u"]
-            zr = 1 / (1 + np.exp(-(a[:, :2 * d] + g[:, :2 * d])))
-            z, r, un = zr[:, :d], zr[:, d:], g[:, 2 * d:]
-            n = np.tanh(a[:, 2 * d:] + r * un)
-            new = n + z * (h - n)
-            out.append((h, z, r, n, un, new))
+            if begin[t]:
+                h = np.where(first[t][:, None], np.float32(0), h)
+            g = h @ u
+            zr = a[t, :, :2 * d] + g[:, :2 * d]
+            np.tanh(zr, out=zr)
+            zr += 1
+            zr *= 0.5
+            un = g[:, 2 * d:]
+            n = zr[:, d:] * un
+            n += a[t, :, 2 * d:]
+            np.tanh(n, out=n)
+            new = h - n
+            new *= zr[:, :d]
+            new += n
+            out.append((h, zr[:, :d], zr[:, d:], n, un, new))
             h = new
         return out
 
     def outputs(self, h: np.ndarray, y: np.ndarray, grad: bool = False):
-        """Log probability of each target's class and, in the vocabulary, of the target in it; gradients of the mean."""
-        p, c = self.p, len(self.start) - 1
-        word = y < self.size
-        cls = np.where(word, self.class_of[np.minimum(y, self.size - 1)], c)
-        lc = h @ p["wc"] + p["bc"]
-        lc -= lc.max(axis=1, keepdims=True)
-        e = np.exp(lc)
-        s = e.sum(axis=1)
-        rows = np.arange(len(y))
-        logp = lc[rows, cls] - np.log(s)
-        g = None
-        if grad:
-            dc = e / s[:, None]
-            dc[rows, cls] -= 1
-            dc /= len(y)
-            dh = dc @ p["wc"].T
-            g = {"wc": h.T @ dc, "bc": dc.sum(axis=0), "ww": np.zeros_like(p["ww"]), "bw": np.zeros_like(p["bw"])}
+        """Log probability of each target's class and, in the vocabulary, of the target in it; gradients of the mean.
+
+        Targets lie along the last axis, sorted by class, so sums over a class's words run along whole rows.
+        """
+        p, c, n = self.p, len(self.start) - 1, len(y)
+        cls = np.append(self.class_of, c)[np.minimum(y, self.size)]
         order = np.argsort(cls, kind="stable")
-        ends = np.searchsorted(cls[order], np.arange(c + 1))
+        h, cls, y = h[order].T.copy(), cls[order], y[order]
+        ends = np.searchsorted(cls, np.arange(c + 1))
+        m, cols = ends[c], np.arange(n)  # the first m targets are in the vocabulary
+        lc = p["wc"].T @ h
+        lc += p["bc"][:, None]
+        lc -= lc.max(axis=0)
+        logp = lc[cls, cols]
+        np.exp(lc, out=lc)
+        s = lc.sum(axis=0)
+        logp -= np.log(s)
+        width = int(np.diff(self.start).max())
+        lw = np.full((width, m), -np.inf, h.dtype)  # a class with fewer words than the widest: probability 0 beyond them
+        for k in range(c):
+            i, j, a, b = ends[k], ends[k + 1], self.start[k], self.start[k + 1]
+            if i < j:
+                np.matmul(p["ww"][:, a:b].T, h[:, i:j], out=lw[:b - a, i:j])
+                lw[:b - a, i:j] += p["bw"][a:b, None]
+        lw -= lw.max(axis=0)
+        own = y[:m] - self.start[cls[:m]]
+        logp[:m] += lw[own, cols[:m]]
+        np.exp(lw, out=lw)
+        sw = lw.sum(axis=0)
+        logp[:m] -= np.log(sw)
+        back = np.empty_like(order)
+        back[order] = cols
+        if not grad:
+            return logp[back]
+        lc /= s
+        lc[cls, cols] -= 1
+        lc /= n
+        dh = p["wc"] @ lc
+        g = {"wc": h @ lc.T, "bc": lc.sum(axis=1), "ww": np.zeros_like(p["ww"]), "bw": np.zeros_like(p["bw"])}
+        lw /= sw
+        lw[own, cols[:m]] -= 1
+        lw /= n
         for k in range(c):
-            i = order[ends[k]:ends[k + 1]]
-            if not len(i):
-                continue
-            a, b = self.start[k], self.start[k + 1]
-            hk = h[i]
-            lw = hk @ p["ww"][:, a:b] + p["bw"][a:b]
-            lw -= lw.max(axis=1, keepdims=True)
-            ew = np.exp(lw)
-            sw = ew.sum(axis=1)
-            j = np.arange(len(i))
-            logp[i] += lw[j, y[i] - a] - np.log(sw)
-            if grad:
-                dw = ew / sw[:, None]
-                dw[j, y[i] - a] -= 1
-                dw /= len(y)
-                g["ww"][:, a:b] = hk.T @ dw
-                g["bw"][a:b] = dw.sum(axis=0)
-                dh[i] += dw @ p["ww"][:, a:b].T
-        return (logp, dh, g) if grad else logp
+            i, j, a, b = ends[k], ends[k + 1], self.start[k], self.start[k + 1]
+            if i < j:
+                dw = lw[:b - a, i:j]
+                g["ww"][:, a:b] = h[:, i:j] @ dw.T
+                g["bw"][a:b] = dw.sum(axis=1)
+                dh[:, i:j] += p["ww"][:, a:b] @ dw
+        return logp[back], dh.T[back], g
 
     def window_grad(self, x, first, y, live, h):
         """Mean loss of a window, its gradients, and the state after it; backpropagation stops at the window's start."""
@@ -190,27 +222,34 @@ class Gru:
         hs = np.stack([s[5] for s in run])
         at = np.flatnonzero(live.ravel())
         logp, dh, g = self.outputs(hs.reshape(-1, d)[at], y.ravel()[at], True)
-        into = np.zeros((live.size, d), "f4")
+        into = np.zeros((live.size, d), hs.dtype)
         into[at] = dh
         into = into.reshape(hs.shape)
-        g |= {"x": np.zeros_like(p["x"]), "u": np.zeros_like(p["u"])}
-        das, back = [None] * len(run), np.zeros_like(h)
+        # what each gate's gradient is times, for the whole window at once
+        h0, z, r, n, un = (np.stack([s[i] for s in run]) for i in range(5))
+        for_z, for_n, for_r = (h0 - n) * z * (1 - z), (1 - z) * (1 - n * n), un * r * (1 - r)
+        da = np.empty((*hs.shape[:2], 3 * d), hs.dtype)
+        dg = np.empty_like(da)
+        back, ut, begin = np.zeros_like(h), p["u"].T.copy(), first.any(axis=1)
         for t in range(len(run) - 1, -1, -1):
-            h0, z, r, n, un, _ = run[t]
-            dn = (into[t] + back)
-            dz = dn * (h0 - n) * z * (1 - z)
-            keep = dn * z
-            dn = dn * (1 - z) * (1 - n * n)
-            dr = dn * un * r * (1 - r)
-            dg = np.concatenate([dz, dr, dn * r], axis=1)
-            das[t] = np.concatenate([dz, dr, dn], axis=1)
-            g["u"] += h0.T @ dg
-            back = np.where(first[t][:, None], np.float32(0), keep + dg @ p["u"].T)
-        da = np.concatenate(das)
+            dn = into[t] + back
+            keep = dn * z[t]
+            np.multiply(dn, for_z[t], out=dg[t, :, :d])
+            dn *= for_n[t]
+            np.multiply(dn, for_r[t], out=dg[t, :, d:2 * d])
+            np.multiply(dn, r[t], out=dg[t, :, 2 * d:])
+            da[t, :, 2 * d:] = dn
+            back = dg[t] @ ut
+            back += keep
+            if begin[t]:
+                back[first[t]] = 0
+        da[:, :, :2 * d] = dg[:, :, :2 * d]
+        da, dg = da.reshape(-1, 3 * d), dg.reshape(-1, 3 * d)
+        g |= {"x": np.zeros_like(p["x"]), "u": h0.reshape(-1, d).T @ dg}
         xs = x.ravel()
         order = np.argsort(xs, kind="stable")
-        met, begin = np.unique(xs[order], return_index=True)
-        g["x"][met] = np.add.reduceat(da[order], begin)
+        met = np.flatnonzero(np.diff(xs[order], prepend=-1))
+        g["x"][xs[order[met]]] = np.add.reduceat(da[order], met)
         g["b"] = da.sum(axis=0)
         return -float(logp.mean()), g, run[-1][5]
 
@@ -232,8 +271,8 @@ def lay_out(codes: list[np.ndarray], size: int, n: int):
     lengths = np.array([len(c) for c in codes])
     ls = lanes(lengths, n)
     time = int(lengths[ls[0]].sum())
-    x, y = np.full((time, len(ls)), size + 1), np.zeros((time, len(ls)), np.int64)
-    first, doc = np.zeros((time, len(ls)), bool), np.full((time, len(ls)), -1)
+    x, y = np.full((time, len(ls)), size + 1, np.int32), np.zeros((time, len(ls)), np.int32)
+    first, doc = np.zeros((time, len(ls)), bool), np.full((time, len(ls)), -1, np.int32)
     for i, ds in enumerate(ls):
         at = 0
         for d in ds:
@@ -261,11 +300,12 @@ def trainer(vocab: Vocabulary, hidden: int, start: np.ndarray | None, window: in
         net, codes, seen, step = Gru(vocab, hidden), Codes(vocab), 0, 0
         if start is not None:
             net.load(start)
-        m = {k: np.zeros_like(v) for k, v in net.p.items()}
-        v = {k: np.zeros_like(w) for k, w in net.p.items()}
+        flat = net.flat()
+        net.view(flat)
+        m, v = np.zeros_like(flat), np.zeros_like(flat)
         for batch in batches:
             texts = raw_texts(batch.column(0))
-            for a, b in shares(texts, 1 << 21):
+            for a, b in shares(texts, LAID_BYTES):
                 codes.trim()
                 x, y, first, doc = lay_out(_encoded(texts[a:b], codes), vocab.size, n_lanes)
                 live = doc >= 0
@@ -275,14 +315,18 @@ def trainer(vocab: Vocabulary, hidden: int, start: np.ndarray | None, window: in
                     w = slice(t, t + window)
                     _, g, h = net.window_grad(x[w, :k], first[w, :k], y[w, :k], live[w, :k], h[:k])
                     step, seen = step + 1, seen + int(live[w, :k].sum())
-                    norm = math.sqrt(sum(float((q * q).sum()) for q in g.values()))
-                    clip = min(1.0, 1.0 / (norm + 1e-9))
-                    for name, q in g.items():
-                        q *= clip
-                        m[name] += 0.1 * (q - m[name])
-                        v[name] += 0.01 * (q * q - v[name])
-                        net.p[name] -= (rate * (m[name] / (1 - 0.9 ** step))
-                                        / (np.sqrt(v[name] / (1 - 0.99 ** step)) + 1e-6)).astype("f4")
+                    g = np.concatenate([g[name].ravel() for name in net.p])
+                    g *= min(1.0, 1.0 / (math.sqrt(float(g @ g)) + 1e-9))
+                    m += np.float32(0.1) * (g - m)
+                    g *= g
+                    g -= v
+                    g *= np.float32(0.01)
+                    v += g
+                    by = np.sqrt(v * np.float32(1 / (1 - 0.99 ** step)))
+                    by += np.float32(1e-6)
+                    np.divide(m, by, out=by)
+                    by *= np.float32(rate / (1 - 0.9 ** step))
+                    flat -= by
         if seen:
             flat = net.flat().astype("f8") * seen
             for i in range(0, len(flat), 4096):
@@ -325,7 +369,7 @@ def scorer(vocab: Vocabulary, hidden: int, flat: np.ndarray, window: int, n_lane
         logc = np.log10(vocab.counts + ALPHA)
         for batch in batches:
             texts = raw_texts(batch.column(1))
-            for a, b in shares(texts, 1 << 21):
+            for a, b in shares(texts, LAID_BYTES):
                 codes.trim()
                 coded = _encoded(texts[a:b], codes)
                 x, y, first, doc = lay_out(coded, size, n_lanes)

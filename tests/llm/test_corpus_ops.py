@@ -394,6 +394,20 @@ def test_lm_network_sees_every_training_text(spark, monkeypatch):
     assert sorted(map(str, seen)) == sorted(str(r.doc_id) for r in got if not r.held_out)
 
 
+def test_lm_lanes_stay_full_beside_a_long_text(monkeypatch):
+    """As many steps as the tokens need: a long text is laid out with enough others to fill the lanes beside it."""
+    import pyarrow as pa
+
+    rng = np.random.default_rng(1)
+    texts = [b" ".join(b"w%d" % w for w in rng.integers(0, 50, 3000 if i % 100 == 0 else 300)) for i in range(3000)]
+    vocab = gru_lm.Vocabulary(np.array([gru_lm.key(b"w%d" % i) for i in range(50)]), np.full(50, 20), 50, 4)
+    windows, own = [], gru_lm.Gru.window_grad
+    monkeypatch.setattr(gru_lm.Gru, "window_grad", lambda self, x, *a: (windows.append(x.size), own(self, x, *a))[1])
+    got = list(gru_lm.trainer(vocab, 4, None, 16, 128, 0.01)(iter([pa.record_batch([pa.array(texts, pa.binary())], ["x"])])))
+    n = sum(len(t.split()) + 1 for t in texts)
+    assert got[0].column(1)[0].as_py() == n and len(windows) < 1.25 * n / (16 * 128)
+
+
 def test_lm_gradients_and_carried_state():
     rng = np.random.default_rng(0)
     vocab = gru_lm.Vocabulary(np.arange(9), np.arange(9, 0, -1), 6, 3)
