@@ -51,3 +51,15 @@ def test_grid_has_one_best_point(spark):
     top = max(rows, key=lambda r: r.cv_auc)
     assert best_params(res, grid[:2]) == {"depth": int([r for r in rows if r.best][0].params[-1])}
     assert [r for r in rows if r.best][0].cv_auc == top.cv_auc
+
+
+def test_unread_texts_are_not_staged_with_the_folds(spark, monkeypatch):
+    from dataclasses import replace
+
+    from tabmine.operators import tune
+    seen, own = [], tune.materialize
+    monkeypatch.setattr(tune, "materialize", lambda df, name: (seen.extend(df.columns), own(df, name))[1])
+    bases = [Candidate("lr", "linear", logistic(1.0, 5)), Candidate("tree", "tree", tree(depth=2, min_leaf=1))]
+    df = noise(spark, 60).withColumn("words", F.lit("long text"))
+    scores = nested_stacking(bases, df, replace(SPEC, text="words"), k=2, inner_k=2, min_freq=1)
+    assert "words" not in seen and "noise" in seen and scores.count() == 180
