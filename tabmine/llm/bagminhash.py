@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tabmine.llm.arrow_text import STEP, Hashes, mixed, nth, raw_texts, shares, words
-from tabmine.llm.common import digest128, stage, text_of
+from tabmine.llm.common import digest128, small, stage, text_of
 
 
 def shingles(hashes: np.ndarray, size: int) -> np.ndarray:
@@ -242,8 +242,9 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     first = (member.filter("u != lead").select("lead", "u").distinct().join(wanted, "u")
              .join(wanted.select(F.col("u").alias("lead"), F.col("t").alias("a"), F.col("n").alias("lead_n")), "lead")
              .filter(fits(F.col("n"), F.col("lead_n"))).select("a", F.col("t").alias("b")))
-    bags = (docs.select(digest128(text_of(text_col)).alias("t"), text_of(text_col).alias("x"))
-            .join(wanted.select("t"), "t", "left_semi").mapInArrow(lambda bs: _bags(bs, shingle), "t binary, bag binary"))
+    # the names go to the texts: texts are shuffled only beyond 4 million names (another text of the same name does no harm)
+    bags = (docs.select(digest128(text_of(text_col)).alias("t"), text_of(text_col).alias("x")).withColumn("u", F.xxhash64("t"))
+            .join(small(wanted.select("u"), 8), "u", "left_semi").select("t", "x").mapInArrow(lambda bs: _bags(bs, shingle), "t binary, bag binary"))
     bags = stage(bags.dropDuplicates(["t"]), "bags")
 
     def compared(pairs: DataFrame, name: str) -> DataFrame:

@@ -186,6 +186,28 @@ def prefix_pairs(spark, bags: list[list[int]]) -> set:
     return {frozenset((int.from_bytes(r.a, "big"), int.from_bytes(r.b, "big"))) for r in got}
 
 
+def test_near_duplicates_do_not_shuffle_texts_to_choose_bags(spark, monkeypatch):
+    rng, plans, own = random.Random(12), {}, bagminhash.stage
+    base = [prose(rng, 60) for _ in range(30)]
+    docs = docs_of(spark, [(i, base[i % 30] + f" tail{i // 30}") for i in range(60)] + [(60, base[0] + " tail0"), (61, None), (None, "")])
+
+    def kept(df, name):
+        plans.setdefault(name, df._jdf.queryExecution().executedPlan().toString())
+        return own(df, name)
+
+    rows = lambda: sorted(map(str, bagminhash.near_duplicates(docs).collect()))
+    monkeypatch.setattr(bagminhash, "stage", kept)
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        got = rows()
+        assert "BroadcastHashJoin" in plans["bags"] and "SortMergeJoin" not in plans["bags"]
+        monkeypatch.setattr(bagminhash, "small", lambda df, row_bytes: df)  # more names than are sent
+        assert rows() == got
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
 def test_prefix_pairs_lose_no_link(spark):
     rng = random.Random(8)
     bags = []
